@@ -1,0 +1,97 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from terraframe.functions import geometry as G
+from terraframe.functions.geometry import Box
+from terraframe.operators import vector
+
+SHELL = "0 0, 4 0, 4 4, 0 4, 0 0"
+HOLE = "1 1, 1 3, 3 3, 3 1, 1 1"
+
+
+def shape(spark, wkt):
+    return spark.createDataFrame([(wkt,)], "wkt string").select(G.rings_from_wkt(F.col("wkt")).alias("rings"))
+
+
+def value(frame, column):
+    return frame.select(column.alias("v")).first().v
+
+
+def test_centroids(spark):
+    square = shape(spark, f"POLYGON (({SHELL}))")
+    assert tuple(value(square, G.polygon_centroid(F.col("rings")))) == (2.0, 2.0)
+    triangle = shape(spark, "POLYGON ((0 0, 6 0, 0 3, 0 0))")
+    assert tuple(value(triangle, G.polygon_centroid(F.col("rings")))) == (2.0, 1.0)
+    holed = shape(spark, "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (0 0, 0 2, 2 2, 2 0, 0 0))")
+    x, y = value(holed, G.polygon_centroid(F.col("rings")))
+    assert math.isclose(x, (16 * 2 - 4 * 1) / 12) and math.isclose(y, x)
+    flat = shape(spark, "POLYGON ((0 0, 4 0, 0 0))")
+    assert tuple(value(flat, G.polygon_centroid(F.col("rings")))) == (2.0, 0.0)
+    far = shape(spark, "POLYGON ((1e8 1e8, 100000001 1e8, 100000001 100000001, 1e8 100000001, 1e8 1e8))")
+    assert tuple(value(far, G.polygon_centroid(F.col("rings")))) == (100000000.5, 100000000.5)
+    line = shape(spark, "LINESTRING (0 0, 2 0, 2 6)")
+    assert tuple(value(line, G.line_centroid(F.col("rings")[0]))) == ((2 * 1 + 6 * 2) / 8, 18 / 8)
+    spot = shape(spark, "LINESTRING (3 4, 3 4)")
+    assert tuple(value(spot, G.line_centroid(F.col("rings")[0]))) == (3.0, 4.0)
+
+
+def test_length_and_area(spark):
+    line = shape(spark, "LINESTRING (0 0, 3 4, 3 10)")
+    assert value(line, G.path_length(F.col("rings")[0])) == 11.0
+    ring = shape(spark, f"POLYGON (({SHELL}), ({HOLE}))")
+    assert value(ring, G.ring_area(F.col("rings")[0])) == 16.0
+    assert value(ring, G.ring_area(F.col("rings")[1])) == -4.0
+
+
+def test_wkt_round_trip(spark):
+    for text in ("POLYGON ((0.0 0.0, 4.0 0.5, 4.0 4.0, 0.0 0.0))",
+                 "POLYGON ((0.0 0.0, 9.0 0.0, 9.0 9.0, 0.0 0.0), (1.0 1.0, 1.0 2.0, 2.0 2.0, 1.0 1.0))"):
+        frame = shape(spark, text)
+        assert value(frame, G.wkt_polygon(F.col("rings"))) == text
+    text = "MULTIPOLYGON (((0.0 0.0, 4.0 0.0, 4.0 4.0, 0.0 4.0, 0.0 0.0), (1.0 1.0, 1.0 3.0, 3.0 3.0, 3.0 1.0, 1.0 1.0)), ((8.0 8.0, 9.0 8.0, 9.0 9.0, 8.0 8.0)))"
+    assert value(shape(spark, text), G.wkt_polygons(F.col("rings"))) == text
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        shape(spark, "POLYGON ((0 0, 1 a, 1 1, 0 0))").collect()
+
+
+@pytest.mark.parametrize(
+    ("box", "solid", "holed", "outline"),
+    [
+        (Box(1.5, 1.5, 2, 2), True, False, False),  # inside the hole
+        (Box(0.2, 0.2, 0.4, 0.4), True, True, False),  # inside the ring
+        (Box(-9, -9, 9, 9), True, True, True),  # covers all
+        (Box(4, 4, 5, 5), True, True, True),  # touches a corner
+        (Box(5, 0, 6, 1), False, False, False),
+        (Box(-1, 1, 5, 2), True, True, True),  # crosses without holding a vertex
+    ],
+)
+def test_box_against_polygon(spark, box, solid, holed, outline):
+    whole = shape(spark, f"POLYGON (({SHELL}))")
+    ring = shape(spark, f"POLYGON (({SHELL}), ({HOLE}))")
+    assert value(whole, G.touches_box(G.edges(F.col("rings")), box)) is solid
+    assert value(ring, G.touches_box(G.edges(F.col("rings")), box)) is holed
+    assert value(whole, G.touches_box(G.edges(F.col("rings")), box, area=False)) is outline
+    assert vector.range_query(whole, box).count() == int(solid)
+
+
+def test_diagonal_misses_a_box_its_envelope_meets(spark):
+    line = spark.range(1).select(G.line(*[F.lit(v) for v in (0.0, 0.0, 4.0, 4.0)]).alias("path"))
+    assert vector.range_query(line, Box(3, 0, 4, 1)).count() == 0
+    assert vector.range_query(line, Box(1, 0, 2, 1)).count() == 1
+    assert vector.range_query(line, Box(-1, -1, 5, 5), "contains").count() == 1
+    assert vector.range_query(line, Box(0, 0, 4, 4), "contains").count() == 0
+
+
+def test_box(spark):
+    assert Box.parse("-128.1,27.3,-63.8,54.3") == Box(-128.1, 27.3, -63.8, 54.3)
+    with pytest.raises(ValueError):
+        Box.parse("1,2,3")
+    ring = spark.range(1).select(F.array(Box(0, 1, 2, 3).ring()).alias("rings"))
+    assert value(ring, G.wkt_polygon(F.col("rings"))).startswith("POLYGON ((0.0 1.0, 2.0 1.0")
+
+
+def test_reduce_to_2d_drops_attributes(spark):
+    frame = spark.createDataFrame([(1, 2.0, 3.0)], "id int, x double, y double")
+    assert vector.reduce_to_2d(frame).columns == ["x", "y"]
