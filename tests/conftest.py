@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         spark__checkpoint__dir=str(folder / "checkpoint"),
         spark__sql__warehouse__dir=str(folder / "warehouse"),
         spark__driver__memory="4g",
+        spark__sql__maxMetadataStringLength="4000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
