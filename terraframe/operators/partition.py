@@ -148,7 +148,7 @@ def z_order(x: Column, y: Column, extent: Box, bits: int = 16) -> Column:
 
 def write_index(
     features: DataFrame, partitioner: SpatialPartitioner, path: str, *,
-    mode: str = "errorifexists", files: int | None = None,
+    mode: str = "errorifexists", files: int | None = None, extent: Box | None = None,
 ) -> None:
     """Store features by partition, with a side table of the partition boxes.
 
@@ -161,9 +161,10 @@ def write_index(
     assigned = partitioner.assign(features, home="is_home")
     if "minx" not in assigned.columns:
         assigned = with_envelope(assigned)
-    corners = features if "minx" in features.columns else with_envelope(features)
-    facts = corners.agg(F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy")).first()
-    extent = Box(*[float(v) if v is not None else 0.0 for v in facts])
+    if extent is None:
+        corners = features if "minx" in features.columns else with_envelope(features)
+        facts = corners.agg(F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy")).first()
+        extent = Box(*[0.0 if v is None else float(v) for v in facts])
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = assigned.withColumn("_z", z_order(F.col("minx"), F.col("miny"), extent)).withColumn(
         "_spread", F.xxhash64(*[c for c in assigned.columns if c != "part_id"], F.spark_partition_id())

@@ -77,6 +77,10 @@ def to_tiles(raster: DataFrame, grid: Grid, bands: Sequence[str] | None = None)
         grid.tile_y(y).alias("ty"),
         F.struct(grid.offset(x, y).alias("at"), *bands).alias("entry"),
     )
+    return _pack(entries, grid, bands)
+
+
+def _pack(entries: DataFrame, grid: Grid, bands: Sequence[str]) -> DataFrame:
     packed = entries.groupBy(*TILE).agg(F.sort_array(F.collect_list("entry")).alias("entries"))
     return packed.select(*TILE, *[_dense(F.col("entries"), b, grid.tile_pixels).alias(b) for b in bands])
 
@@ -100,6 +104,17 @@ def _dense(entries: Column, band: str, length: int) -> Column:
     return F.concat(F.flatten(runs), F.array_repeat(F.lit(None).cast("double"), rest))
 
 
+def _cells(tiles: DataFrame, bands: Sequence[str], complete: bool) -> DataFrame:
+    """One row ``(tx, ty, at, bands...)`` per non-empty pixel of a tile table."""
+    # A tile missing from one raster zips like an empty array: padded with NULL.
+    arrays = [F.coalesce(F.col(b), F.array().cast("array<double>")).alias(b) for b in bands]
+    rows = tiles.select(*TILE, *arrays).select(*TILE, F.posexplode(F.arrays_zip(*bands)).alias("at", "cell"))
+    needed = Column.__and__ if complete else Column.__or__
+    return rows.select(*TILE, "at", *[F.col("cell").getField(b).alias(b) for b in bands]).where(
+        reduce(needed, [F.col(b).isNotNull() for b in bands])
+    )
+
+
 def flatten(
     tiles: DataFrame, grid: Grid, bands: Sequence[str] | None = None, complete: bool = False
 ) -> DataFrame:
@@ -108,17 +123,28 @@ def flatten(
     With ``complete`` a pixel needs all bands, the pixel form of an inner overlay.
     """
     bands = list(bands or bands_of(tiles, TILE))
-    # A tile missing from one raster zips like an empty array: padded with NULL.
-    arrays = [F.coalesce(F.col(b), F.array().cast("array<double>")).alias(b) for b in bands]
-    rows = tiles.select(*TILE, *arrays).select(
-        *TILE, F.posexplode(F.arrays_zip(*bands)).alias("at", "cell")
-    )
-    needed = Column.__and__ if complete else Column.__or__
-    return rows.select(
+    return _cells(tiles, bands, complete).select(
         (F.col("tx") * grid.tile_width + F.col("at") % grid.tile_width).alias("x"),
         (F.col("ty") * grid.tile_height + floor_div(F.col("at"), grid.tile_width)).alias("y"),
-        *[F.col("cell").getField(b).alias(b) for b in bands],
-    ).where(reduce(needed, [F.col(b).isNotNull() for b in bands]))
+        *bands,
+    )
+
+
+def compute_tiles(
+    tiles: DataFrame,
+    grid: Grid,
+    transform: Callable[[DataFrame], DataFrame],
+    bands: Sequence[str],
+    complete: bool = True,
+) -> DataFrame:
+    """Map algebra from tiles to tiles.
+
+    ``transform`` gets one row per pixel and adds ``bands``; it must keep the columns
+    ``tx, ty, at``. Tiles that come out of an overlay are already placed by their key,
+    so unpacking, computing and packing again happens where they lie.
+    """
+    computed = transform(_cells(tiles, bands_of(tiles, TILE), complete))
+    return _pack(computed.select(*TILE, F.struct("at", *bands).alias("entry")), grid, bands)
 
 
 def overlay(rasters: Sequence[DataFrame], how: str = "inner") -> DataFrame:

@@ -67,6 +67,22 @@ def range_query(features: DataFrame, box: Box, predicate: str = "intersects") ->
     return features.where(in_range(features, box, predicate))
 
 
+def within_polygon(
+    points: DataFrame, rings: list[list[tuple[float, float]]], predicate: str = "contains", tol: float = G.BORDER
+) -> DataFrame:
+    """Points in one given polygon (closed rings of coordinates), by any point predicate.
+
+    The box of the polygon is tested first, on plain columns.
+    """
+    corners = [p for ring in rings for p in ring]
+    box = Box(*[f(p[i] for p in corners) for f, i in ((min, 0), (min, 1), (max, 0), (max, 1))])
+    outline = F.flatten(
+        F.array(*[G.path_edges(F.array(*[G.point(F.lit(float(x)), F.lit(float(y))) for x, y in r])) for r in rings])
+    )
+    near = points.where(in_range(points, Box(box.minx - tol, box.miny - tol, box.maxx + tol, box.maxy + tol)))
+    return near.where(G.point_matches(outline, F.col("x"), F.col("y"), predicate, tol))
+
+
 def count_features(features: DataFrame, alias: str = "n_features") -> DataFrame:
     return features.agg(F.count("*").alias(alias))
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import et
 from ..functions.geometry import Box
 from ..functions.ieee import narrow
+from ..grid import Grid
 from ..operators import partition, raster, spatial_join, vector, visual
 from ..sources import features as io
+from ..sources import rasters, tiff
 
 
 def penman_monteith(stack: DataFrame, precision: str = "double", pressure: str = "p") -> DataFrame:
@@ -156,23 +159,53 @@ def run_point_in_polygon(
 
 def index_and_visualize(
     spark: SparkSession, features: DataFrame, index_output: str, plot_output: str, *,
-    partitions: int = 16, max_level: int = 19, overwrite: bool = False, threshold: int = 0,
+    partitions: int = 16, max_level: int = 19, overwrite: bool = False, threshold: int = 0, cache: bool = True,
 ) -> str:
     """Summarize, index and build the tile pyramid of a feature set; returns the summary JSON.
 
-    The reduced features are written once, as the index; the pyramid reads them back
-    from there instead of from the input.
+    The reduced geometry is what several passes read, so that is what is kept (on disk
+    where memory ends). The pyramid reads the index instead of the input.
     """
     mode = "overwrite" if overwrite else "errorifexists"
     summary = vector.summary_json(features).first()["json"]
     reduced = vector.reduce_to_2d(features)
-    partitioner = partition.SpatialPartitioner.fit(reduced, partitions)
-    partition.write_index(reduced, partitioner, index_output, mode=mode)
+    if cache:
+        reduced = reduced.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        bounds = visual.data_bounds(reduced) or Box(0.0, 0.0, 1.0, 1.0)
+        partitioner = partition.SpatialPartitioner.fit(reduced, partitions)
+        partition.write_index(reduced, partitioner, index_output, mode=mode, extent=bounds)
+    finally:
+        if cache:
+            reduced.unpersist()
     stored = partition.read_index(spark, index_output)
-    visual.pyramid(stored, 0, max_level, threshold=threshold).write.mode(mode).parquet(plot_output)
+    tiles = visual.pyramid(stored, 0, max_level, bounds=bounds, threshold=threshold)
+    tiles.write.mode(mode).parquet(plot_output)
     return summary
 
 
+def run_penman_monteith(
+    spark: SparkSession, paths: dict[str, str], grid: Grid, output: str, *,
+    precision: str = "double", write_mode: str = "distributed", overwrite: bool = False,
+) -> None:
+    """The Penman-Monteith job on stored rasters.
+
+    ``paths`` maps the bands ``t, t_a, u, r_sd, r_ld, r_lu, alpha, p`` to TIFF files or to
+    tile tables in Parquet, all in the tile layout of ``grid``; the first layer of each is
+    used. One tile overlay brings them together; the result is written as tiles.
+    """
+    layers = []
+    for band, path in paths.items():
+        tiles = tiff.load_tiff(spark, path) if path.lower().endswith((".tif", ".tiff")) else rasters.read_tiles(spark, path)
+        if "band" in tiles.columns:
+            tiles = raster.select_band(tiles, 0)
+        value = "tile" if "tile" in tiles.columns else band
+        layers.append(tiles.select(*raster.TILE, F.col(value).alias(band)))
+    stack = raster.overlay_tiles(layers)
+    result = raster.compute_tiles(stack, grid, lambda pixels: penman_monteith(pixels, precision), ["le"])
+    rasters.write_tiles(result, output, grid, write_mode=write_mode, mode="overwrite" if overwrite else "errorifexists")
+
+
 def count_in_range(features: DataFrame, box: Box) -> DataFrame:
     """Number of all features and of those in a rectangle, in one scan."""
     return features.agg(

@@ -117,6 +117,7 @@ ORACLE: dict[str, str] = {
     "surface_resistance": f"{CHAIN} SELECT x, y, round(1000000::DOUBLE / r_s, 8) AS inverse_r_s FROM chain",
     "et_penman_monteith": f"""{CHAIN} SELECT x, y, {_round('delta', 'r_n', 'r_ah', 'h', 'e_o')},
         {_round('et_inst', 'le', digits=10)} FROM chain""",
+    "tile_algebra": f"{CHAIN} SELECT x, y, round(delta, 6) AS delta, round(le, 10) AS le FROM chain",
     "fao56_scalars": f"""{RASTERS}, {SCALARS} SELECT {_round('t_min', 't_max', 'rh_min', 'rh_max', 'pressure', 'e_min', 'e_max', 'e_s', 'e_a')},
         round(gamma, 8) AS gamma FROM scalars""",
     "fao56_et0": f"""{RASTERS}, {SCALARS},
@@ -133,6 +134,10 @@ ORACLE: dict[str, str] = {
     "range_pushdown": """SELECT l_orderkey, l_linenumber, l_extendedprice AS x, l_quantity AS y FROM lineitem
         WHERE l_extendedprice BETWEEN 20000 AND 45000 AND l_quantity BETWEEN 10 AND 30""",
     "range_polygons": f"{FEATURES} SELECT c_custkey, c_mktsegment FROM parcels WHERE {_meets('w', 'h')}",
+    "range_polygon": f"""{FEATURES}, quad AS (SELECT * FROM (VALUES (-100, -40, 60, -70), (60, -70, 120, 30),
+            (120, 30, -20, 80), (-20, 80, -100, -40)) AS q(x1, y1, x2, y2))
+        SELECT event_id, {_round('x', 'y')}, event_type, value FROM points WHERE NOT EXISTS (SELECT 1 FROM quad
+        WHERE (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1) <= 1e-9)""",
     "pip_intersects": f"{FEATURES} SELECT region_id, event_id FROM regions JOIN points ON {CLOSED}",
     "pip_contains": f"{FEATURES} SELECT region_id, event_id FROM regions JOIN points ON {INSIDE}",
     "pip_concave": f"""{FEATURES} SELECT region_id, event_id FROM regions JOIN points

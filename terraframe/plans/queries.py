@@ -118,6 +118,17 @@ def overlay_tiles(spark, folder):
     return _rounded(stack.withColumn("total", F.col("t") + F.col("u") + F.col("r_sd")), t=6, u=6, r_sd=6, total=6)
 
 
+@query
+def tile_algebra(spark, folder):
+    """The Penman-Monteith chain from tiles to tiles, unpacked at the end."""
+    grid = testbed.GRID
+    surface = testbed.surface(spark, folder).select("x", "y", "t", "t_a", "alpha", "p")
+    land = testbed.land(spark, folder).select("x", "y", "u", "r_ld", "r_lu")
+    stack = raster.overlay_tiles([raster.to_tiles(r, grid) for r in (surface, land, testbed.sky(spark, folder))])
+    tiles = raster.compute_tiles(stack, grid, jobs.penman_monteith, ["delta", "le"])
+    return _rounded(raster.flatten(tiles, grid), delta=6, le=10)
+
+
 @query
 def overlay_nested(spark, folder):
     """Overlay of (slope, wind) with (temperature, net radiation), themselves overlays."""
@@ -269,6 +280,16 @@ def range_polygons(spark, folder):
     return vector.range_query(testbed.parcels(spark, folder), testbed.RANGE).select("c_custkey", "c_mktsegment")
 
 
+# A convex quadrilateral, counter-clockwise.
+QUAD = [(-100.0, -40.0), (60.0, -70.0), (120.0, 30.0), (-20.0, 80.0), (-100.0, -40.0)]
+
+
+@query
+def range_polygon(spark, folder):
+    """Points strictly inside one given polygon."""
+    return _rounded(vector.within_polygon(testbed.points(spark, folder), [QUAD]), x=6, y=6)
+
+
 @query
 def pip_intersects(spark, folder):
     joined = spatial_join.spatial_join(

@@ -6,12 +6,11 @@ the tables and another SQL engine can derive the same inputs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geometry as G
 from ..functions.geometry import Box
-from ..grid import Grid, floor_div
+from ..grid import Grid
 from ..operators import raster
 
 WIDTH = 200
@@ -21,54 +20,61 @@ COARSE = Grid(-180.0, 0.0, 180.0, -2e9, 4326, 75, 800_000_000, 10, 10)
 RANGE = Box(-128.1, 27.3, -63.8, 54.3)
 
 
+# Columns in use; with a schema given, no job has to read file footers for it.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double",
+    "events": "event_id bigint, event_type string, value double",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _pixel(key: str) -> list[Column]:
-    k = F.col(key)
-    return [(k % WIDTH).cast("int").alias("x"), floor_div(k, WIDTH).alias("y")]
+def _pixel(key: str) -> list[str]:
+    return [f"cast({key} % {WIDTH} as int) AS x", f"cast({key} div {WIDTH} as int) AS y"]
 
 
 def surface(spark: SparkSession, folder: str) -> DataFrame:
     """Bands of the orders table: temperatures, albedo, pressure, humidity, elevation."""
-    cust, order = F.col("o_custkey"), F.col("o_orderkey")
-    pixels = table(spark, folder, "orders").select(
+    pixels = table(spark, folder, "orders").selectExpr(
         *_pixel("o_orderkey"),
-        (F.lit(273.15) + cust % 40).alias("t"),
-        (F.lit(273.65) + cust % 40 + order % 7 - 3).alias("t_a"),
-        (F.lit(0.05) + (order % 30) / F.lit(100.0)).alias("alpha"),
-        (F.lit(95000.0) + (cust % 100) * 50).alias("p"),
-        (F.lit(20.0) + cust % 60).alias("rh"),
-        (cust % 3000).cast("double").alias("z"),
+        "273.15D + o_custkey % 40 AS t",
+        "273.65D + o_custkey % 40 + o_orderkey % 7 - 3 AS t_a",
+        "0.05D + (o_orderkey % 30) / 100D AS alpha",
+        "95000D + (o_custkey % 100) * 50 AS p",
+        "20D + o_custkey % 60 AS rh",
+        "cast(o_custkey % 3000 as double) AS z",
     )
     return raster.rasterize(pixels, GRID, ["t", "t_a", "alpha", "p", "rh", "z"], unique=True)
 
 
 def land(spark: SparkSession, folder: str) -> DataFrame:
     """Bands of the lineitem table, several lines per pixel: wind and longwave radiation."""
-    pixels = table(spark, folder, "lineitem").select(
+    pixels = table(spark, folder, "lineitem").selectExpr(
         *_pixel("l_orderkey"),
-        (F.lit(0.5) + F.col("l_quantity") / F.lit(10.0)).alias("u"),
-        (F.lit(250.0) + F.col("l_tax") * F.lit(1000.0)).alias("r_ld"),
-        (F.lit(300.0) + F.col("l_discount") * F.lit(1000.0)).alias("r_lu"),
-        (F.col("l_tax") * F.lit(1000.0)).alias("r_nl"),
+        "0.5D + l_quantity / 10D AS u",
+        "250D + l_tax * 1000D AS r_ld",
+        "300D + l_discount * 1000D AS r_lu",
+        "l_tax * 1000D AS r_nl",
     )
     return raster.rasterize(pixels, GRID, ["u", "r_ld", "r_lu", "r_nl"])
 
 
 def sky(spark: SparkSession, folder: str) -> DataFrame:
     """Downward shortwave radiation from the events table."""
-    pixels = table(spark, folder, "events").select(
-        *_pixel("event_id"), (F.lit(100.0) + F.col("value")).alias("r_sd")
-    )
+    pixels = table(spark, folder, "events").selectExpr(*_pixel("event_id"), "100D + value AS r_sd")
     return raster.rasterize(pixels, GRID, ["r_sd"], unique=True)
 
 
 def layers(spark: SparkSession, folder: str) -> DataFrame:
     """A multi-band raster in long form: band = line number - 1."""
-    pixels = table(spark, folder, "lineitem").select(
-        *_pixel("l_orderkey"), (F.col("l_linenumber") - 1).alias("band"), F.col("l_quantity").alias("value")
+    pixels = table(spark, folder, "lineitem").selectExpr(
+        *_pixel("l_orderkey"), "l_linenumber - 1 AS band", "l_quantity AS value"
     )
     return pixels.groupBy("x", "y", "band").agg(F.max("value").alias("value"))
 
@@ -80,67 +86,53 @@ def climate_stack(spark: SparkSession, folder: str) -> DataFrame:
     return raster.overlay([ours, theirs, sky(spark, folder)])
 
 
-def point_x(key: Column) -> Column:
-    return (key * 7919 % 36000) / F.lit(100.0) - F.lit(180.0)
-
-
-def point_y(key: Column) -> Column:
-    return (key * 104729 % 18000) / F.lit(100.0) - F.lit(90.0)
+def _point(key: str, x: str = "x", y: str = "y") -> list[str]:
+    return [f"({key} * 7919 % 36000) / 100D - 180D AS {x}", f"({key} * 104729 % 18000) / 100D - 90D AS {y}"]
 
 
 def points(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("event_id")
-    return table(spark, folder, "events").select(
-        "event_id", point_x(key).alias("x"), point_y(key).alias("y"), "event_type", "value"
-    )
+    return table(spark, folder, "events").selectExpr("event_id", *_point("event_id"), "event_type", "value")
 
 
-def _diamond(cx: Column, cy: Column, w: Column, h: Column, dent: bool = False) -> Column:
-    corners = [(cx + w, cy), (cx, cy + h), (cx - w, cy), (cx, cy - h)]
-    if dent:
-        corners.append((cx + w / F.lit(6.0), cy))
-    return F.array(*[G.point(x, y) for x, y in [*corners, corners[0]]])
+def _diamond(shapes: DataFrame, dent: bool) -> DataFrame:
+    """Replace ``cx, cy, w, h`` by a closed diamond in ``rings``, dented on its right side if wanted."""
+    corners = ["(cx + w, cy)", "(cx, cy + h)", "(cx - w, cy)", "(cx, cy - h)", *(["(cx + w / 6D, cy)"] if dent else [])]
+    named = [f"named_struct('x', {x}, 'y', {y})" for x, y in (c[1:-1].split(", ") for c in [*corners, corners[0]])]
+    kept = [c for c in shapes.columns if c not in ("cx", "cy", "w", "h")]
+    return shapes.selectExpr(*kept, f"array(array({', '.join(named)})) AS rings")
 
 
 def regions(spark: SparkSession, folder: str, dent: bool = False) -> DataFrame:
     """25 large diamonds from the nation table."""
-    k = F.col("n_nationkey")
-    cx = (F.lit(-160) + k % 5 * 80).cast("double")
-    cy = (F.lit(-72) + floor_div(k, 5) * 36).cast("double")
-    ring = _diamond(cx, cy, F.lit(30.0), F.lit(15.0), dent)
-    return table(spark, folder, "nation").select(
-        F.col("n_nationkey").alias("region_id"), F.col("n_name").alias("NAME"), F.array(ring).alias("rings")
+    shapes = table(spark, folder, "nation").selectExpr(
+        "n_nationkey AS region_id", "n_name AS NAME",
+        "cast(-160 + 80 * (n_nationkey % 5) as double) AS cx",
+        "cast(-72 + 36 * (n_nationkey div 5) as double) AS cy", "30D AS w", "15D AS h",
     )
+    return _diamond(shapes, dent)
 
 
 def parcels(spark: SparkSession, folder: str, dent: bool = False) -> DataFrame:
     """Small diamonds of many sizes from the customer table."""
-    k = F.col("c_custkey")
-    half = F.lit(0.2) + (k % 50) / F.lit(10.0)
-    ring = _diamond(point_x(k), point_y(k), half, half / F.lit(2.0), dent)
-    return table(spark, folder, "customer").select(
-        "c_custkey", "c_mktsegment", F.array(ring).alias("rings")
+    shapes = table(spark, folder, "customer").selectExpr(
+        "c_custkey", "c_mktsegment", *_point("c_custkey", "cx", "cy"),
+        "0.2D + (c_custkey % 50) / 10D AS w", "(0.2D + (c_custkey % 50) / 10D) / 2D AS h",
     )
+    return _diamond(shapes, dent)
 
 
 def road_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Road-format CSV text from the orders table, with a quoted field that has a comma."""
-    a, b = F.col("o_orderkey"), F.col("o_custkey")
-    quoted = F.concat(F.lit('"'), F.col("o_orderstatus"), F.lit(","), F.col("o_orderpriority"), F.lit('"'))
-    return table(spark, folder, "orders").select(
-        F.concat_ws(
-            ",", a.cast("string"), quoted, point_x(a).cast("string"), point_y(a).cast("string"),
-            b.cast("string"), point_x(b).cast("string"), point_y(b).cast("string"),
-        ).alias("value")
+    ends = table(spark, folder, "orders").selectExpr(
+        "*", *_point("o_orderkey", "x1", "y1"), *_point("o_custkey", "x2", "y2")
     )
+    quoted = "concat('\"', o_orderstatus, ',', o_orderpriority, '\"')"
+    return ends.selectExpr(f"concat_ws(',', o_orderkey, {quoted}, x1, y1, o_custkey, x2, y2) AS value")
 
 
 def granules(spark: SparkSession, folder: str) -> DataFrame:
     """A manifest of one-degree granules from the orders table."""
-    k = F.col("o_orderkey")
-    return table(spark, folder, "orders").select(
-        F.concat(F.lit("g"), k.cast("string")).alias("name"),
-        point_x(k).alias("minx"), point_y(k).alias("miny"),
-        (point_x(k) + 1).alias("maxx"), (point_y(k) + 1).alias("maxy"),
-        F.to_date("o_orderdate").alias("date"), F.col("o_orderstatus").alias("status"),
-    )
+    return table(spark, folder, "orders").selectExpr(
+        "concat('g', o_orderkey) AS name", *_point("o_orderkey", "minx", "miny"),
+        "to_date(o_orderdate) AS date", "o_orderstatus AS status",
+    ).selectExpr("name", "minx", "miny", "minx + 1 AS maxx", "miny + 1 AS maxy", "date", "status")

@@ -16,6 +16,10 @@ def local_session(cpus: int | str = "*", app_name: str = "terraframe", **conf: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small inputs grow in joins, so keep all cores busy with small partitions.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # Recording the call site of every column costs several driver round trips each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
@@ -11,14 +11,25 @@ from ..functions import geometry as G
 COORDINATES = (2, 3, 5, 6)
 
 
-def _fields(line: Column) -> Column:
-    """Fields of one CSV line; commas inside double quotes do not separate."""
-    plain = F.split(line, ",")
-    quoted = F.transform(
-        F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'),
-        lambda field: F.regexp_replace(F.regexp_replace(field, r'^"(.*)"$', "$1"), '""', '"'),
+# A field, quoted or not, up to the next comma or the end of the line.
+FIELD = r'("[^"]*(?:""[^"]*)*"|[^,]*)(?:,|$)'
+
+
+def _split(lines: DataFrame, line: str) -> DataFrame:
+    """Fields ``f`` of CSV lines without an empty last one; quoted commas do not separate."""
+    text, quoted = F.col(line), F.col(line).contains('"')
+    # For quoted lines the pattern finds one more, empty, field at the end.
+    found = F.when(quoted, F.regexp_extract_all(text, F.lit(FIELD), F.lit(1))).otherwise(F.split(text, ","))
+    fields = lines.select(found.alias("f"), quoted.alias("q"))
+    last_empty = F.col("q") | (F.element_at("f", -1) == "")
+    kept = F.when(last_empty, F.slice("f", 1, F.size("f") - 1)).otherwise(F.col("f"))
+    bare = F.transform(
+        kept,
+        lambda field: F.when(
+            field.startswith('"'), F.replace(F.substring(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
+        ).otherwise(field),
     )
-    return F.when(line.contains('"'), quoted).otherwise(plain)
+    return fields.select(F.when(F.col("q"), bare).otherwise(kept).alias("f"))
 
 
 def parse_roads(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -27,13 +38,11 @@ def parse_roads(lines: DataFrame, line: str = "value") -> DataFrame:
     Other fields stay strings in ``attrs``, in their order, however many a line has;
     an empty last one is dropped. A bad or missing coordinate fails the job.
     """
-    split = lines.select(_fields(F.col(line)).alias("f"))
-    others = F.filter("f", lambda _, i: ~i.isin(*COORDINATES))
-    last_empty = F.element_at(others, -1) == ""
-    attrs = F.when(last_empty, F.slice(others, 1, F.size(others) - 1)).otherwise(others)
-    ends = split.select(*[F.col("f")[p].cast("double").alias(n) for p, n in zip(COORDINATES, ("x1", "y1", "x2", "y2"))],
-                        attrs.alias("attrs"))
-    return ends.withColumn("path", G.line(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]))
+    split = _split(lines, line)
+    ends = [F.col("f")[at].cast("double").alias(name) for at, name in zip(COORDINATES, ("x1", "y1", "x2", "y2"))]
+    attrs = F.filter("f", lambda _, at: ~at.isin(*COORDINATES)).alias("attrs")
+    segments = split.select(*ends, attrs)
+    return segments.withColumn("path", G.line(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]))
 
 
 def load_roads(spark: SparkSession, path: str) -> DataFrame:

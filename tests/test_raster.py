@@ -147,3 +147,30 @@ def test_write_modes(spark, tmp_path):
     assert as_dict(back, "a") == as_dict(literal(spark, "a"), "a")
     with pytest.raises(ValueError, match="single file"):
         rasters.write_tiles(tiles, f"{tmp_path}/big", Grid(0, 0, 1, 1, 4326, 100_000, 100_000), write_mode="compatibility")
+
+
+def test_tiles_are_computed_where_they_lie(spark, plan):
+    grid = Grid(0, 0, 40, 40, 4326, 40, 40, 8, 8)
+    tiles = [raster.to_tiles(noise(spark, band, 400, 40, 40, seed), grid) for seed, band in enumerate("ab")]
+    stack = raster.overlay_tiles(tiles)
+    result = raster.compute_tiles(stack, grid, lambda pixels: pixels.withColumn("c", F.col("a") - F.col("b")), ["c"])
+    assert plan(result).count("Exchange") == plan(stack).count("Exchange") == 2
+    pixels = raster.overlay([noise(spark, band, 400, 40, 40, seed) for seed, band in enumerate("ab")])
+    expected = {key: a - b for key, (a, b) in as_dict(pixels, "a", "b").items()}
+    assert as_dict(raster.flatten(result, grid), "c") == expected
+
+
+def test_penman_monteith_job_on_stored_rasters(spark, tmp_path):
+    grid = Grid(0, 0, 20, 10, 4326, 20, 10, 8, 8)
+    bands = {"t": 290.0, "t_a": 288.0, "u": 3.0, "r_sd": 400.0, "r_ld": 300.0, "r_lu": 350.0, "alpha": 0.2, "p": 99000.0}
+    paths = {}
+    for i, (band, value) in enumerate(bands.items()):
+        layer = raster.map_pixels(noise(spark, band, 190, 20, 10, i), **{band: lambda v, base=value: v / 1000 + base})
+        paths[band] = f"{tmp_path}/{band}"
+        rasters.write_tiles(raster.to_tiles(layer, grid), paths[band], grid)
+    jobs.run_penman_monteith(spark, paths, grid, f"{tmp_path}/le")
+    found = as_dict(raster.flatten(rasters.read_tiles(spark, f"{tmp_path}/le"), grid), "le")
+    stack = raster.overlay([raster.flatten(rasters.read_tiles(spark, p), grid) for p in paths.values()])
+    expected = as_dict(jobs.penman_monteith(stack), "le")
+    assert found.keys() == expected.keys() and len(found) > 0
+    assert all(abs(found[k] - v) <= 1e-12 * abs(v) for k, v in expected.items())

@@ -104,3 +104,20 @@ def test_summary_counts_empty_features(spark):
     row = vector.summarize(frame).first()
     assert (row.num_features, row.num_non_empty, row.num_points, row.point_features) == (2, 1, 1, 1)
     assert (row.minx, row.maxy, row.avg_width) == (2.0, 3.0, 0.0)
+
+
+def test_new_granules_are_taken_once(spark, tmp_path):
+    from terraframe.streaming.granule_feed import take_new_granules
+
+    schema = "name string, minx double, miny double, maxx double, maxy double, date date"
+    rows = manifest(spark).drop("d")
+
+    def run(rect, checkpoint):
+        take_new_granules(spark, f"{tmp_path}/manifest", schema, f"{tmp_path}/taken", f"{tmp_path}/{checkpoint}", rect, "2018.01.01..2018.01.07")
+        return sorted(r.name for r in spark.read.parquet(f"{tmp_path}/taken").collect())
+
+    rows.where("name < 'd'").write.parquet(f"{tmp_path}/manifest")
+    assert run("0,0,1,1", "first") == ["a", "b"]
+    rows.where("name <> 'b'").write.mode("append").parquet(f"{tmp_path}/manifest")
+    assert run("0,0,1,1", "first") == ["a", "b", "e"]
+    assert run("0,0,9,9", "wider") == ["a", "b", "d", "e"]
