@@ -176,25 +176,30 @@ def point_matches(outline: Column, px: Column, py: Column, predicate: str, tol:
     raise ValueError(f"predicate must be 'contains' or 'intersects', not {predicate!r}")
 
 
-def touches_box(outline: Column, box: Box, area: Column | bool = True) -> Column:
-    """Whether an outline (with its inside, if ``area``) meets a closed rectangle."""
-    corners = [(x, y) for x in (box.minx, box.maxx) for y in (box.miny, box.maxy)]
+def any_edge_in_box(outline: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
+    """Whether an edge meets a closed rectangle."""
+    corners = [(x, y) for x in (minx, maxx) for y in (miny, maxy)]
 
     def meets(e: Column) -> Column:
+        # Its box meets the rectangle and the corners are not all on one side of it.
         sides = [
-            (e["x2"] - e["x1"]) * (F.lit(cy) - e["y1"]) - (F.lit(cx) - e["x1"]) * (e["y2"] - e["y1"])
-            for cx, cy in corners
+            (e["x2"] - e["x1"]) * (cy - e["y1"]) - (cx - e["x1"]) * (e["y2"] - e["y1"]) for cx, cy in corners
         ]
         return (
-            (F.least(e["x1"], e["x2"]) <= box.maxx)
-            & (F.greatest(e["x1"], e["x2"]) >= box.minx)
-            & (F.least(e["y1"], e["y2"]) <= box.maxy)
-            & (F.greatest(e["y1"], e["y2"]) >= box.miny)
+            (F.least(e["x1"], e["x2"]) <= maxx)
+            & (F.greatest(e["x1"], e["x2"]) >= minx)
+            & (F.least(e["y1"], e["y2"]) <= maxy)
+            & (F.greatest(e["y1"], e["y2"]) >= miny)
             & (F.least(*sides) <= 0)
             & (F.greatest(*sides) >= 0)
         )
 
-    hit = F.exists(outline, meets)
+    return F.exists(outline, meets)
+
+
+def touches_box(outline: Column, box: Box, area: Column | bool = True) -> Column:
+    """Whether an outline (with its inside, if ``area``) meets a closed rectangle."""
+    hit = any_edge_in_box(outline, *[F.lit(v) for v in (box.minx, box.miny, box.maxx, box.maxy)])
     if area is False:
         return hit
     covered = crossings(outline, F.lit(box.minx), F.lit(box.miny)) % 2 == 1
