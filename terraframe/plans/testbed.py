@@ -22,7 +22,7 @@ RANGE = Box(-128.1, 27.3, -63.8, 54.3)
 
 # Columns in use; with a schema given, no job has to read file footers for it.
 SCHEMAS = {
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp, o_orderpriority string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
     "lineitem": "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
                 "l_discount double, l_tax double",
     "events": "event_id bigint, event_type string, value double",
