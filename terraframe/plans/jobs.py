@@ -150,7 +150,9 @@ def run_point_in_polygon(
     for index, path in enumerate((polygons, points)):
         own = io.options_for(options or {}, index)
         loaded.append(io.load_features(spark, path, own.pop("iformat", None), own.pop("filter_mbr", None), **own))
-    shapes = loaded[0].drop("geom_type", "x", "y") if "rings" in loaded[0].columns else loaded[0]
+    shapes = loaded[0]
+    if "geom_type" in shapes.columns:
+        shapes = shapes.where(F.lower("geom_type").like("%polygon")).drop("geom_type", "x", "y")
     spots = loaded[1].drop("geom_type", "rings", *vector.BOX)
     result = point_in_polygon(shapes, spots)
     polygon_attributes = [c for c in shapes.columns if c not in vector.GEOMETRY]

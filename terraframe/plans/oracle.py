@@ -198,3 +198,6 @@ ORACLE: dict[str, str] = {
         AND miny <= 43.213::DOUBLE AND maxy >= -30.751::DOUBLE AND status <> 'F'""",
 }
 ORACLE["overlay_tiles"] = ORACLE["overlay_3way"]
+ORACLE["raster_store"] = ORACLE["flatten"]
+ORACLE["wkt_polygons"] = ORACLE["polygon_mbr"]
+ORACLE["csv_points"] = ORACLE["geotag_points"]

@@ -13,7 +13,7 @@ from ..functions.geometry import Box
 from ..functions.ieee import divide
 from ..operators import granules, partition, raster, spatial_join, vector, visual
 from ..session import shared_folder
-from ..sources import geojson, roads
+from ..sources import features, geojson, rasters, roads
 from . import jobs, testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,15 @@ def flatten(spark, folder):
     return raster.flatten(raster.to_tiles(stack, testbed.GRID), testbed.GRID)
 
 
+@query
+def raster_store(spark, folder):
+    """A raster written as tiles by many tasks, read again and unpacked."""
+    path = shared_folder(spark, "raster")
+    tiles = raster.to_tiles(testbed.surface(spark, folder).select("x", "y", "t", "p"), testbed.GRID)
+    rasters.write_tiles(tiles, path, testbed.GRID)
+    return raster.flatten(rasters.read_tiles(spark, path), testbed.GRID)
+
+
 @query
 def raster_minmax(spark, folder):
     found = raster.min_max(testbed.surface(spark, folder), ["t", "rh"])
@@ -345,6 +354,25 @@ def wkt_points(spark, folder):
     return found.select("event_id", G.wkt_point(x, y).alias("geometry"), "event_type")
 
 
+@query
+def wkt_polygons(spark, folder):
+    """Polygons as WKT text, parsed back by the reader's expressions."""
+    text = testbed.parcels(spark, folder).select("c_custkey", G.wkt_polygon(F.col("rings")).alias("wkt"))
+    parsed = text.select("c_custkey", G.rings_from_wkt(F.col("wkt")).alias("rings"))
+    boxed = vector.with_envelope(parsed).select("c_custkey", *vector.BOX)
+    return _rounded(boxed, minx=6, miny=6, maxx=6, maxy=6)
+
+
+@query
+def csv_points(spark, folder):
+    """Tagged points written as CSV by many tasks and loaded again by format name."""
+    tagged = jobs.geotag_points(testbed.regions(spark, folder), testbed.points(spark, folder), testbed.RANGE)
+    path = shared_folder(spark, "points")
+    features.save_features(tagged, path, "csv")
+    schema = "x double, y double, event_id bigint, event_type string, value double, state string"
+    return _rounded(features.load_features(spark, path, "csv", schema=schema), x=6, y=6)
+
+
 @query
 def envelope_join(spark, folder):
     shapes = vector.with_envelope(testbed.parcels(spark, folder)).drop("rings", "c_mktsegment")
