@@ -114,7 +114,7 @@ ORACLE: dict[str, str] = {
     "net_radiation": f"{CHAIN} SELECT x, y, round(r_n, 6) AS r_n FROM chain",
     "sensible_heat": f"{CHAIN} SELECT x, y, round(h, 6) AS h FROM chain",
     "instant_et": f"{CHAIN} SELECT x, y, round(vaporization, 3) AS vaporization, round(et_inst, 10) AS et_inst FROM chain",
-    "surface_resistance": f"{CHAIN} SELECT x, y, round(1000000::DOUBLE / r_s, 8) AS inverse_r_s FROM chain",
+    "surface_resistance": f"{CHAIN} SELECT x, y, round(1000000::DOUBLE / r_s, 8) + 0::DOUBLE AS inverse_r_s FROM chain",
     "et_penman_monteith": f"""{CHAIN} SELECT x, y, {_round('delta', 'r_n', 'r_ah', 'h', 'e_o')},
         {_round('et_inst', 'le', digits=10)} FROM chain""",
     "tile_algebra": f"{CHAIN} SELECT x, y, round(delta, 6) AS delta, round(le, 10) AS le FROM chain",

@@ -217,7 +217,8 @@ def instant_et(spark, folder):
 @query
 def surface_resistance(spark, folder):
     # The resistance itself reaches 1e15; its inverse can be compared digit by digit.
-    return _chain(spark, folder, F.round(divide(1e6, F.col("r_s")), 8).alias("inverse_r_s"))
+    # Adding zero turns a negative zero into a plain one.
+    return _chain(spark, folder, (F.round(divide(1e6, F.col("r_s")), 8) + F.lit(0.0)).alias("inverse_r_s"))
 
 
 @query

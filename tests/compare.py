@@ -25,7 +25,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.12g}") + 0.0
+        return "nan" if math.isnan(value) else value + 0.0
     if isinstance(value, datetime.datetime):
         return value.date() if value.time() == datetime.time() else value
     return value
