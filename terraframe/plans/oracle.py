@@ -76,50 +76,51 @@ def _meets(w: str, h: str) -> str:
 
 
 def _round(*names: str, digits: int = 6) -> str:
-    return ", ".join(f"round({n}, {digits}) AS {n}" for n in names)
+    # Adding zero turns a negative zero into a plain one.
+    return ", ".join(f"round({n}, {digits}) + 0::DOUBLE AS {n}" for n in names)
 
 
 ORACLE: dict[str, str] = {
     "raster_load": f"{RASTERS} SELECT x, y, t, t_a, p FROM surface",
     "rasterize": f"{RASTERS} SELECT x, y, {_round('u', 'r_ld', 'r_lu', 'r_nl')} FROM land",
-    "grid_coords": f"""{RASTERS} SELECT x, y, round(-180::DOUBLE + (x + 0.5::DOUBLE) * 1.8::DOUBLE, 6) AS centre_x,
-        round(-(y + 0.5::DOUBLE), 6) AS centre_y, (x // 10)::INTEGER AS tx, (y // 10)::INTEGER AS ty,
+    "grid_coords": f"""{RASTERS} SELECT x, y, round(-180::DOUBLE + (x + 0.5::DOUBLE) * 1.8::DOUBLE, 6) + 0::DOUBLE AS centre_x,
+        round(-(y + 0.5::DOUBLE), 6) + 0::DOUBLE AS centre_y, (x // 10)::INTEGER AS tx, (y // 10)::INTEGER AS ty,
         (y % 10 * 10 + x % 10)::INTEGER AS tile_offset FROM surface""",
-    "map_pixels": f"{RASTERS} SELECT x, y, round(t - 272.15::DOUBLE, 6) AS t, round(p / 1000::DOUBLE, 6) AS p FROM surface",
+    "map_pixels": f"{RASTERS} SELECT x, y, round(t - 272.15::DOUBLE, 6) + 0::DOUBLE AS t, round(p / 1000::DOUBLE, 6) + 0::DOUBLE AS p FROM surface",
     "band_select": """SELECT (l_orderkey % 200)::INTEGER AS x, (l_orderkey // 200)::INTEGER AS y,
         max(l_quantity) AS value FROM lineitem WHERE l_linenumber = 1 GROUP BY l_orderkey""",
     "flatten": f"{RASTERS} SELECT x, y, t, p FROM surface",
-    "raster_minmax": f"""{RASTERS} SELECT round(min(t), 6) AS t_min, round(max(t), 6) AS t_max,
-        round(min(rh), 6) AS rh_min, round(max(rh), 6) AS rh_max FROM surface""",
+    "raster_minmax": f"""{RASTERS} SELECT round(min(t), 6) + 0::DOUBLE AS t_min, round(max(t), 6) + 0::DOUBLE AS t_max,
+        round(min(rh), 6) + 0::DOUBLE AS rh_min, round(max(rh), 6) + 0::DOUBLE AS rh_max FROM surface""",
     "tile_count": f"{RASTERS} SELECT count(*) AS n_tiles FROM (SELECT DISTINCT x // 10, y // 10 FROM land)",
     "pixel_lookup": f"{RASTERS} SELECT x, y, t, t_a, p FROM surface WHERE x = 1 AND y = 4",
-    "overlay_3way": f"""{RASTERS} SELECT x, y, {_round('t', 'u', 'r_sd')}, round(t + u + r_sd, 6) AS total
+    "overlay_3way": f"""{RASTERS} SELECT x, y, {_round('t', 'u', 'r_sd')}, round(t + u + r_sd, 6) + 0::DOUBLE AS total
         FROM surface JOIN land USING (x, y) JOIN sky USING (x, y)""",
     "overlay_outer": f"""{RASTERS} SELECT x, y, {_round('t', 'u', 'r_sd')}
         FROM surface FULL JOIN land USING (x, y) FULL JOIN sky USING (x, y)""",
-    "overlay_nested": f"""{RASTERS} SELECT x, y, round({SLOPE}, 6) AS delta, round({WIND}, 6) AS u_2,
-        round(t, 6) AS t, round((1 - 0.23::DOUBLE) * r_sd - r_nl, 6) AS r_n
+    "overlay_nested": f"""{RASTERS} SELECT x, y, round({SLOPE}, 6) + 0::DOUBLE AS delta, round({WIND}, 6) + 0::DOUBLE AS u_2,
+        round(t, 6) + 0::DOUBLE AS t, round((1 - 0.23::DOUBLE) * r_sd - r_nl, 6) + 0::DOUBLE AS r_n
         FROM surface JOIN land USING (x, y) JOIN sky USING (x, y)""",
     "reshape_nn": f"""{RASTERS}, target_x AS (SELECT unnest(range(75))::INTEGER AS x2),
         target_y AS (SELECT unnest(range((SELECT max(y) FROM surface) + 1))::INTEGER AS y2),
         cols AS (SELECT x2, floor((-180::DOUBLE + (x2 + 0.5::DOUBLE) * 4.8::DOUBLE + 180) / 1.8::DOUBLE)::INTEGER AS x FROM target_x),
         lines AS (SELECT y2, floor((y2 + 0.5::DOUBLE) * 2.5::DOUBLE)::INTEGER AS y FROM target_y)
         SELECT x2 AS x, y2 AS y, t, p FROM surface JOIN cols USING (x) JOIN lines USING (y)""",
-    "svp_slope": f"{RASTERS} SELECT x, y, round({SLOPE}, 6) AS delta FROM surface",
-    "svp": f"{RASTERS} SELECT x, y, round({SVP}, 6) AS e_o FROM surface",
-    "aero_resistance": f"{RASTERS} SELECT x, y, round({RESISTANCE}, 6) AS r_ah FROM land",
-    "wind_2m": f"{RASTERS} SELECT x, y, round({WIND}, 6) AS u_2 FROM land",
-    "atm_pressure": f"""{RASTERS} SELECT x, y, round(pressure, 6) AS pressure, round(0.000665::DOUBLE * pressure, 8) AS gamma
+    "svp_slope": f"{RASTERS} SELECT x, y, round({SLOPE}, 6) + 0::DOUBLE AS delta FROM surface",
+    "svp": f"{RASTERS} SELECT x, y, round({SVP}, 6) + 0::DOUBLE AS e_o FROM surface",
+    "aero_resistance": f"{RASTERS} SELECT x, y, round({RESISTANCE}, 6) + 0::DOUBLE AS r_ah FROM land",
+    "wind_2m": f"{RASTERS} SELECT x, y, round({WIND}, 6) + 0::DOUBLE AS u_2 FROM land",
+    "atm_pressure": f"""{RASTERS} SELECT x, y, round(pressure, 6) + 0::DOUBLE AS pressure, round(0.000665::DOUBLE * pressure, 8) + 0::DOUBLE AS gamma
         FROM (SELECT x, y, 101.3::DOUBLE * pow((293::DOUBLE - 0.0065::DOUBLE * z) / 293::DOUBLE, 5.26::DOUBLE) AS pressure FROM surface)""",
-    "net_radiation": f"{CHAIN} SELECT x, y, round(r_n, 6) AS r_n FROM chain",
-    "sensible_heat": f"{CHAIN} SELECT x, y, round(h, 6) AS h FROM chain",
-    "instant_et": f"{CHAIN} SELECT x, y, round(vaporization, 3) AS vaporization, round(et_inst, 10) AS et_inst FROM chain",
+    "net_radiation": f"{CHAIN} SELECT x, y, round(r_n, 6) + 0::DOUBLE AS r_n FROM chain",
+    "sensible_heat": f"{CHAIN} SELECT x, y, round(h, 6) + 0::DOUBLE AS h FROM chain",
+    "instant_et": f"{CHAIN} SELECT x, y, round(vaporization, 3) + 0::DOUBLE AS vaporization, round(et_inst, 10) + 0::DOUBLE AS et_inst FROM chain",
     "surface_resistance": f"{CHAIN} SELECT x, y, round(1000000::DOUBLE / r_s, 8) + 0::DOUBLE AS inverse_r_s FROM chain",
     "et_penman_monteith": f"""{CHAIN} SELECT x, y, {_round('delta', 'r_n', 'r_ah', 'h', 'e_o')},
         {_round('et_inst', 'le', digits=10)} FROM chain""",
-    "tile_algebra": f"{CHAIN} SELECT x, y, round(delta, 6) AS delta, round(le, 10) AS le FROM chain",
+    "tile_algebra": f"{CHAIN} SELECT x, y, round(delta, 6) + 0::DOUBLE AS delta, round(le, 10) + 0::DOUBLE AS le FROM chain",
     "fao56_scalars": f"""{RASTERS}, {SCALARS} SELECT {_round('t_min', 't_max', 'rh_min', 'rh_max', 'pressure', 'e_min', 'e_max', 'e_s', 'e_a')},
-        round(gamma, 8) AS gamma FROM scalars""",
+        round(gamma, 8) + 0::DOUBLE AS gamma FROM scalars""",
     "fao56_et0": f"""{RASTERS}, {SCALARS},
         stack AS (SELECT x, y, t, {SLOPE} AS delta, {WIND} AS u_2, (1 - 0.23::DOUBLE) * r_sd - r_nl AS r_n
             FROM surface JOIN land USING (x, y) JOIN sky USING (x, y))
@@ -154,30 +155,30 @@ ORACLE: dict[str, str] = {
         ON minx <= cx + w AND maxx >= cx - w AND miny <= cy + h AND maxy >= cy - h""",
     "geojson_features": f"""{FEATURES} SELECT event_id, event_type, 'Point' AS geom_type, {_round('x', 'y')} FROM points""",
     "road_segments": f"""{FEATURES} SELECT o_orderkey, label, o_custkey, {_round('x1', 'y1', 'x2', 'y2')},
-        round(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)), 6) AS length FROM roads""",
-    "line_centroid": f"{FEATURES} SELECT o_orderkey, round((x1 + x2) / 2, 6) AS x, round((y1 + y2) / 2, 6) AS y FROM roads",
+        round(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)), 6) + 0::DOUBLE AS length FROM roads""",
+    "line_centroid": f"{FEATURES} SELECT o_orderkey, round((x1 + x2) / 2, 6) + 0::DOUBLE AS x, round((y1 + y2) / 2, 6) + 0::DOUBLE AS y FROM roads",
     "road_summary": f"""{FEATURES} SELECT count(*) AS num_features, count(*) AS num_non_empty,
         2 * count(*) AS num_points, 0::BIGINT AS point_features, count(*) AS line_features,
         0::BIGINT AS polygon_features,
-        round(min(least(x1, x2)), 6) AS minx, round(min(least(y1, y2)), 6) AS miny,
-        round(max(greatest(x1, x2)), 6) AS maxx, round(max(greatest(y1, y2)), 6) AS maxy,
-        round(avg(abs(x2 - x1)), 6) AS avg_width, round(avg(abs(y2 - y1)), 6) AS avg_height FROM roads""",
+        round(min(least(x1, x2)), 6) + 0::DOUBLE AS minx, round(min(least(y1, y2)), 6) + 0::DOUBLE AS miny,
+        round(max(greatest(x1, x2)), 6) + 0::DOUBLE AS maxx, round(max(greatest(y1, y2)), 6) + 0::DOUBLE AS maxy,
+        round(avg(abs(x2 - x1)), 6) + 0::DOUBLE AS avg_width, round(avg(abs(y2 - y1)), 6) + 0::DOUBLE AS avg_height FROM roads""",
     "feature_summary": f"""{FEATURES} SELECT count(*) AS num_features, count(*) AS num_non_empty,
         5 * count(*) AS num_points, 0::BIGINT AS point_features, 0::BIGINT AS line_features,
-        count(*) AS polygon_features, round(min(cx - w), 6) AS minx, round(min(cy - h), 6) AS miny,
-        round(max(cx + w), 6) AS maxx, round(max(cy + h), 6) AS maxy,
-        round(avg(2 * w), 6) AS avg_width, round(avg(2 * h), 6) AS avg_height FROM parcels""",
-    "polygon_mbr": f"""{FEATURES} SELECT c_custkey, round(cx - w, 6) AS minx, round(cy - h, 6) AS miny,
-        round(cx + w, 6) AS maxx, round(cy + h, 6) AS maxy FROM parcels""",
+        count(*) AS polygon_features, round(min(cx - w), 6) + 0::DOUBLE AS minx, round(min(cy - h), 6) + 0::DOUBLE AS miny,
+        round(max(cx + w), 6) + 0::DOUBLE AS maxx, round(max(cy + h), 6) + 0::DOUBLE AS maxy,
+        round(avg(2 * w), 6) + 0::DOUBLE AS avg_width, round(avg(2 * h), 6) + 0::DOUBLE AS avg_height FROM parcels""",
+    "polygon_mbr": f"""{FEATURES} SELECT c_custkey, round(cx - w, 6) + 0::DOUBLE AS minx, round(cy - h, 6) + 0::DOUBLE AS miny,
+        round(cx + w, 6) + 0::DOUBLE AS maxx, round(cy + h, 6) + 0::DOUBLE AS maxy FROM parcels""",
     # The dented diamond is the diamond less the triangle (0, -h), (w, 0), (w / 6, 0).
     "polygon_centroid": f"""{FEATURES}, areas AS (SELECT *, 2 * w * h AS whole, (w - w / 6) * h / 2 AS cut FROM parcels)
-        SELECT c_custkey, round(cx - cut * (w + w / 6) / 3 / (whole - cut), 6) AS x,
-        round(cy + cut * h / 3 / (whole - cut), 6) AS y FROM areas""",
-    "drop_to_2d": f"""{FEATURES} SELECT 'point' AS kind, round(x, 6) AS minx, round(y, 6) AS miny,
-        round(x, 6) AS maxx, round(y, 6) AS maxy FROM points
+        SELECT c_custkey, round(cx - cut * (w + w / 6) / 3 / (whole - cut), 6) + 0::DOUBLE AS x,
+        round(cy + cut * h / 3 / (whole - cut), 6) + 0::DOUBLE AS y FROM areas""",
+    "drop_to_2d": f"""{FEATURES} SELECT 'point' AS kind, round(x, 6) + 0::DOUBLE AS minx, round(y, 6) + 0::DOUBLE AS miny,
+        round(x, 6) + 0::DOUBLE AS maxx, round(y, 6) + 0::DOUBLE AS maxy FROM points
         UNION ALL SELECT 'box', {_round('minx', 'miny', 'maxx', 'maxy')} FROM granules""",
     "spatial_partition_check": f"""{FEATURES} SELECT count(*) AS n_features, 16::BIGINT AS n_parts, true AS balanced,
-        round(min(x), 6) AS minx, round(max(x), 6) AS maxx, round(min(y), 6) AS miny, round(max(y), 6) AS maxy FROM points""",
+        round(min(x), 6) + 0::DOUBLE AS minx, round(max(x), 6) + 0::DOUBLE AS maxx, round(min(y), 6) + 0::DOUBLE AS miny, round(max(y), 6) + 0::DOUBLE AS maxy FROM points""",
     "indexed_range": f"{FEATURES} SELECT event_id, {_round('x', 'y')} FROM points WHERE {RANGE}",
     "pyramid_counts": f"""{FEATURES}, box AS (SELECT min(x) AS x0, min(y) AS y0,
             greatest(max(x) - min(x), max(y) - min(y)) AS side FROM points),
