@@ -66,12 +66,6 @@ class Grid:
     def centre_y(self, y: Column) -> Column:
         return F.lit(self.y1) + (y + F.lit(0.5)) * F.lit(self.step_y)
 
-    def pixel_x(self, world_x: Column) -> Column:
-        return F.floor((world_x - F.lit(self.x1)) / F.lit(self.step_x)).cast("int")
-
-    def pixel_y(self, world_y: Column) -> Column:
-        return F.floor((world_y - F.lit(self.y1)) / F.lit(self.step_y)).cast("int")
-
     def tile_x(self, x: Column) -> Column:
         return floor_div(x, self.tile_width)
 

@@ -8,6 +8,7 @@ cuts themselves (one number per partition).
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -74,10 +75,10 @@ class SpatialPartitioner:
         return cls(x_cuts, tuple(by_strip.get(s, ()) for s in range(len(x_cuts) + 1)))
 
     def strip_of(self, x: Column) -> Column:
-        return _count_at_most(_literal(self.x_cuts), x, len(self.x_cuts))
+        return _count_at_most(_constant(self.x_cuts, "array<double>"), x, len(self.x_cuts))
 
     def row_of(self, strip: Column, y: Column) -> Column:
-        cuts = F.get(F.array(*[_literal(c) for c in self.y_cuts]), strip)
+        cuts = F.get(_constant(self.y_cuts, "array<array<double>>"), strip)
         return _count_at_most(cuts, y, self.rows - 1)
 
     def assign(self, features: DataFrame, alias: str = "part_id", home: str | None = None) -> DataFrame:
@@ -111,8 +112,9 @@ def is_boxed(features: DataFrame) -> bool:
     return "x" not in features.columns or "rings" in features.columns
 
 
-def _literal(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values]).cast("array<double>")
+def _constant(values: Sequence, ddl: str) -> Column:
+    """A nested array as one literal: parsed once by the optimizer, however many cuts there are."""
+    return F.from_json(F.lit(json.dumps(values)), ddl)
 
 
 def partition_summary(assigned: DataFrame, alias: str = "part_id") -> DataFrame:

@@ -95,6 +95,17 @@ def test_z_order_keeps_near_points_near(spark):
     assert [r.z for r in codes] == [0, 2, 1, 3]
 
 
+def test_many_cuts_are_one_constant(spark, plan):
+    strips, rows = 64, 64
+    partitioner = partition.SpatialPartitioner(
+        tuple(float(i) for i in range(1, strips)), tuple(tuple(s + i / 100 for i in range(1, rows)) for s in range(strips))
+    )
+    spots = spark.createDataFrame([(0.5, 0.5), (7.0, 7.305), (63.5, 99.0), (-1.0, -1.0)], "x double, y double")
+    assigned = partitioner.assign(spots)
+    assert "from_json" not in plan(assigned)
+    assert [r.part_id for r in assigned.orderBy("x").collect()] == [0, 50, 7 * 64 + 30, 64 * 64 - 1]
+
+
 def test_partition_count_is_checked(spark):
     with pytest.raises(ValueError, match="partitions"):
         partition.SpatialPartitioner.fit(cloud(spark, 10), partition.MAX_PARTITIONS + 1)
