@@ -70,10 +70,10 @@ def save_features(features: DataFrame, path: str, fmt: str, overwrite: bool = Fa
 
 def convert(
     spark: SparkSession, source: str, target: str, iformat: str | None = None, oformat: str = "parquet",
-    overwrite: bool = False,
+    overwrite: bool = False, **options: object,
 ) -> None:
-    """Copy features from one format to another."""
-    save_features(load_features(spark, source, iformat), target, oformat, overwrite)
+    """Copy features from one format to another; ``options`` are those of the reader."""
+    save_features(load_features(spark, source, iformat, **options), target, oformat, overwrite)
 
 
 def _read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -99,7 +99,7 @@ def _read_wkt(spark: SparkSession, path: str, column: str = "geometry", sep: str
     wrong = F.raise_error(F.concat(F.lit("unsupported WKT geometry: "), F.col(column))).cast("string")
     typed = rows.withColumns(
         {
-            "geom_type": F.when(F.col(column).isNull(), None).otherwise(F.coalesce(F.get(F.array(known[kind]), F.lit(0)), wrong)),
+            "geom_type": F.when(F.col(column).isNotNull(), F.coalesce(known[kind], wrong)),
             "x": point["x"], "y": point["y"], "rings": rings,
         }
     ).drop(column)

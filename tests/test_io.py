@@ -284,6 +284,8 @@ def test_convert_and_registry(spark, points, tmp_path):
     features.convert(spark, f"{tmp_path}/in.parquet", f"{tmp_path}/out", oformat="geojson")
     back = features.load_features(spark, f"{tmp_path}/out", "geojson", properties="id int, text string", layout="lines")
     assert back.select(points.columns).exceptAll(points).isEmpty() and back.count() == 2
+    features.convert(spark, f"{tmp_path}/out", f"{tmp_path}/csv", "geojson", "csv", properties="id int, text string", layout="lines")
+    assert features.load_features(spark, f"{tmp_path}/csv", "csv").count() == 2
     features.register_reader("constant", lambda session, path, n=1: session.range(n).selectExpr("id", "0D x", "0D y"), ".const")
     assert features.load_features(spark, "some.const", n=3).count() == 3
     assert features.load_features(spark, "some.const", n=3, filter_mbr=Box(1, 1, 2, 2)).count() == 0
