@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import SHINGLE, THRESHOLD
 from .license import NOTICE_SHARE, RARE_WORDS, TEMPLATES
 from .text import LOWER, UPPER
 
@@ -49,4 +50,21 @@ WITH d AS (SELECT doc_id, sha256({NORMAL}) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256)"""
 
-ORACLE = {"op1_license_scan": _license(), "op4_exact_dedup": EXACT}
+SPACED = rf"regexp_extract_all({NORMAL}, '[^\x20\x09-\x0D]+')"
+
+CONTAINED = f"""
+WITH d AS (SELECT doc_id, {SPACED} AS w FROM documents), b AS (SELECT item_id, {SPACED} AS w FROM benchmark),
+ds AS (
+  SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i+{SHINGLE - 1}], ' ') FOR i IN range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1)]) AS s
+  FROM d WHERE len(w) > 0
+), bs AS (
+  SELECT DISTINCT item_id, unnest([array_to_string(w[i:i+{SHINGLE - 1}], ' ') FOR i IN range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1)]) AS s
+  FROM b WHERE len(w) > 0
+), sizes AS (SELECT item_id, count(*) AS item_shingles FROM bs GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS shared, any_value(item_shingles) AS item_shingles, count(*) / any_value(item_shingles) AS containment
+FROM ds JOIN bs USING (s) JOIN sizes USING (item_id) GROUP BY doc_id, item_id
+HAVING count(*) / any_value(item_shingles) >= {THRESHOLD}"""
+
+ORACLE = {
+    "op1_license_scan": _license(), "op4_exact_dedup": EXACT, "op10_benchmark_decontamination": CONTAINED,
+}

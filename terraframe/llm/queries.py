@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, license, shard
+from . import decontaminate, exact, license, shard, simhash
 from .text import table
 
 
@@ -13,6 +13,10 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license.scan_licenses(table(spark, folder, "documents")).drop("places")
 
 
+def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_dedup(table(spark, folder, "documents"))
 
@@ -25,4 +29,13 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op4_exact_dedup, op5_sharding)}
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_license_scan, op2_simhash_near_dedup, op4_exact_dedup, op5_sharding, op10_benchmark_decontamination,
+    )
+}
