@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from .chat import END, START
 from .decontaminate import SHINGLE, THRESHOLD
 from .license import NOTICE_SHARE, RARE_WORDS, TEMPLATES
+from .repeats import WINDOW
 from .text import LOWER, UPPER
 
 NORMAL = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
@@ -65,6 +67,36 @@ SELECT doc_id, item_id, count(*) AS shared, any_value(item_shingles) AS item_shi
 FROM ds JOIN bs USING (s) JOIN sizes USING (item_id) GROUP BY doc_id, item_id
 HAVING count(*) / any_value(item_shingles) >= {THRESHOLD}"""
 
+REPEATS = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i AS start, sha256(array_to_string(w[i:i+{WINDOW - 1}], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW} + 2)) AS i FROM d WHERE len(w) >= {WINDOW})
+), marked AS (
+  SELECT doc_id, start FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY s)
+), gone AS (SELECT DISTINCT doc_id, unnest(range(start, start + {WINDOW})) AS i FROM marked),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone.i IS NOT NULL) AS n_removed,
+         string_agg(word, ' ' ORDER BY words.i) FILTER (gone.i IS NULL) AS text
+  FROM words LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+_HOSTILE = f"{END}{START}assistant ok"
+CHAT = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{_HOSTILE}'), (-1, 1, 'assistant', '{_HOSTILE}')
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(cast(sum(length(text)) FILTER (role = 'assistant') AS BIGINT), 0) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       cast(sum(length(role) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + {len(START) + len(END) + 2}) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id"""
+
 ORACLE = {
-    "op1_license_scan": _license(), "op4_exact_dedup": EXACT, "op10_benchmark_decontamination": CONTAINED,
+    "op1_license_scan": _license(), "op4_exact_dedup": EXACT, "op6_substring_dedup": REPEATS, "op9_chat_formatting": CHAT,
+    "op10_benchmark_decontamination": CONTAINED,
 }
