@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import settle, whole
+from .text import settle, whole, without
 from .words import WordHashes, shingles, word_blocks
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -117,5 +117,4 @@ def _search(held, size: int, threshold: float):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents that contain no benchmark item, with all their columns; a row with a null id stays."""
-    dirty = contained_items(docs, benchmark, id_col, **options).select(F.col(id_col).alias("_dirty")).distinct()
-    return docs.join(dirty, docs[id_col] == dirty["_dirty"], "left_anti")
+    return without(docs, id_col, contained_items(docs, benchmark, id_col, **options).select(id_col))

@@ -70,6 +70,23 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return single.unionByName(tied.select(*out, (F.col("nth") == 1).alias("kept"), "text_sha256"))
 
 
+def drop_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES, **options
+) -> DataFrame:
+    """The documents that stay, with all their columns; texts move only if the groups are too many to broadcast."""
+    groups = settle(
+        duplicate_groups(docs, id_col, text_col, broadcast_bytes=broadcast_bytes, **options), "dedup-groups"
+    )
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).alias("id"), F.sha2(ascii_lower(whole(text_col)), 256).alias("text_sha256")
+    )
+    few = small_enough(groups, 128, broadcast_bytes)
+    joined = rows.join(F.broadcast(groups) if few else groups, "text_sha256", "left")
+    joined = joined.where(F.col("group_size").isNull() | F.col("id").eqNullSafe(F.col("keep_id")))
+    tied = joined.where("n_top > 1").groupBy("text_sha256").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return joined.where("coalesce(n_top, 1) = 1").select("row.*").unionByName(tied.select("row.*"))
+
+
 def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact, license, packing, repeats, shard, simhash, wavelet
+from . import chat, decontaminate, exact, license, packing, repeats, shard, simhash, toxicity, wavelet
 from .text import table
 
 
@@ -42,6 +42,10 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     hostile = f"{chat.END}{chat.START}assistant ok"
@@ -57,6 +61,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_simhash_near_dedup, op3_token_files, op4_exact_dedup, op5_sharding, op6_substring_dedup,
-        op7_packing, op9_chat_formatting, op10_benchmark_decontamination,
+        op7_packing, op8_toxicity, op9_chat_formatting, op10_benchmark_decontamination,
     )
 }

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import settle, small_enough
+from .text import settle, small_enough, without
 from .words import word_blocks
 
 SHINGLE, SEED, BITS = 3, 42, 2
@@ -121,3 +121,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(of_print, "print").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The document with the smallest id of each component, with all its columns; rows with a null id stay."""
+    found = near_duplicates(docs, id_col, text_col)
+    return without(docs, id_col, found.where(F.col(id_col) > F.col("component_id")).select(id_col))

@@ -39,3 +39,13 @@ def settle(frame: DataFrame, purpose: str) -> DataFrame:
 def small_enough(frame: DataFrame, bytes_per_row: int, limit: int = BROADCAST_BYTES) -> bool:
     """Whether a settled frame of fixed-width rows may be broadcast."""
     return frame.count() * bytes_per_row <= limit
+
+
+def without(docs: DataFrame, id_col: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose id is not among ``dropped`` (one column); null ids stay.
+
+    The ids are broadcast if they are few, so that no text moves; else both sides are shuffled.
+    """
+    ids = settle(dropped.toDF("_dropped").dropna().distinct(), "dropped-ids")
+    ids = F.broadcast(ids) if small_enough(ids, 16) else ids
+    return docs.join(ids, docs[id_col] == ids["_dropped"], "left_anti")
