@@ -68,11 +68,12 @@ def to_tiles(raster: DataFrame, grid: Grid, bands: Sequence[str] | None = None)
     """Pack pixels into dense tile arrays.
 
     Pixels must be unique (as from :func:`rasterize`), so a group holds at most
-    ``grid.tile_pixels`` rows whatever the data look like.
+    ``grid.tile_pixels`` rows whatever the data look like; two pixels at one place raise an
+    error. Pixels outside the grid are not part of the raster.
     """
     bands = list(bands or bands_of(raster, PIXEL))
     x, y = F.col("x"), F.col("y")
-    entries = raster.select(
+    entries = raster.where(grid.inside(x, y)).select(
         grid.tile_x(x).alias("tx"),
         grid.tile_y(y).alias("ty"),
         F.struct(grid.offset(x, y).alias("at"), *bands).alias("entry"),
@@ -95,10 +96,13 @@ def _dense(entries: Column, band: str, length: int) -> Column:
     runs = F.zip_with(
         entries,
         F.slice(before, 1, F.size(entries)),
-        lambda e, prev: F.concat(
-            F.array_repeat(F.lit(None).cast("double"), e["at"] - prev - 1),
-            F.array(e[band].cast("double")),
-        ),
+        lambda e, prev: F.when(
+            e["at"] > prev,
+            F.concat(
+                F.array_repeat(F.lit(None).cast("double"), e["at"] - prev - 1),
+                F.array(e[band].cast("double")),
+            ),
+        ).otherwise(F.raise_error(F.lit("two pixels at one place of a tile; merge them by rasterize")).cast("array<double>")),
     )
     rest = F.lit(length - 1) - F.element_at(before, -1)
     return F.concat(F.flatten(runs), F.array_repeat(F.lit(None).cast("double"), rest))

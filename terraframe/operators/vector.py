@@ -47,7 +47,8 @@ def in_range(features: DataFrame, box: Box, predicate: str = "intersects") -> Co
     else:
         minx, miny, maxx, maxy = c("x"), c("y"), c("x"), c("y")
     if predicate == "contains":
-        return (minx > box.minx) & (maxx < box.maxx) & (miny > box.miny) & (maxy < box.maxy)
+        meets = (maxx > box.minx) & (minx < box.maxx) & (maxy > box.miny) & (miny < box.maxy)
+        return meets & (minx >= box.minx) & (maxx <= box.maxx) & (miny >= box.miny) & (maxy <= box.maxy)
     near = (minx <= box.maxx) & (maxx >= box.minx) & (miny <= box.maxy) & (maxy >= box.miny)
     if "rings" in names:
         area = F.lower("geom_type").like("%polygon") if "geom_type" in names else True
@@ -61,7 +62,7 @@ def range_query(features: DataFrame, box: Box, predicate: str = "intersects") ->
     """Features in a rectangle.
 
     ``intersects`` takes the border in (the range query); ``contains`` asks for
-    features strictly inside. Comparisons on stored columns are pushed into the scan;
+    features of which nothing is outside and some part is off the border. Comparisons on stored columns are pushed into the scan;
     lines and polygons get the exact test after the box test.
     """
     return features.where(in_range(features, box, predicate))

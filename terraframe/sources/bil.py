@@ -54,6 +54,10 @@ def load_bil(
     header = read_header(spark, f"{root}.hdr")
     width, bands = header.columns, header.bands
     length = width * np.dtype(dtype).itemsize
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}.bil")
+    stored = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
+    if stored < length * header.rows * bands:
+        raise ValueError(f"{root}.bil has {stored} bytes; its header wants {length * header.rows * bands}")
     # The only fixed-length binary source in Spark is an RDD; lines are numbered in
     # file order and it becomes a DataFrame at once.
     numbered = spark.sparkContext.binaryRecords(f"{root}.bil", length).zipWithIndex()

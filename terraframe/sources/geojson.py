@@ -47,13 +47,18 @@ def load_geojson(
         features = files.option("mode", "FAILFAST").json(path, multiLine=True).select(F.explode("features").alias("f"))
     elif layout == "lines":
         text, mark = F.trim("value"), r'"type"\s*:\s*"Feature"'
-        lines = spark.read.text(path).where(text.rlike(mark))
+        # Only blank lines and the lines that open or close a collection hold no feature.
+        frame = r'^(\{|"type"\s*:\s*"FeatureCollection"\s*,?|"(name|bbox|crs)"\s*:.*,?|"features"\s*:\s*\[|\]\s*,?|\}|\]\s*\})?$'
+        opening = r'^\{\s*"type"\s*:\s*"FeatureCollection"[^{]*("crs".*)?\[$'
+        lines = spark.read.text(path).where(~text.rlike(frame) & ~text.rlike(opening))
         # A collection written line by line has its head before the first feature,
         # commas between them and its tail after the last one.
         single = F.regexp_replace(text, r'^\{\s*"type"\s*:\s*"FeatureCollection".*?\[\s*(?=\{)', "")
         single = F.regexp_replace(F.regexp_replace(single, r",$", ""), r"\}\s*\]\s*\}$", "}")
         crowded = F.raise_error(F.lit("several features on one line; use the 'collection' layout"))
-        single = F.when(F.regexp_count("value", F.lit(mark)) > 1, crowded).otherwise(single)
+        none = F.raise_error(F.concat(F.lit("a line without a feature: "), F.substring("value", 1, 80)))
+        marks = F.regexp_count("value", F.lit(mark))
+        single = F.when(marks > 1, crowded).when(marks == 0, none).otherwise(single)
         return parse_geojson(lines.select(single.alias("value")), properties)
     else:
         raise ValueError(f"layout must be 'collection' or 'lines', not {layout!r}")

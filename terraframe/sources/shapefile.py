@@ -85,7 +85,8 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for file in batch.itertuples():
             rows = []
             for shp, dbf in _pairs(file.path, file.shp, file.dbf):
-                for shape, record in zip(_shapes(shp), _records(dbf)):
+                # With a table, every shape has its record and every record its shape.
+                for shape, record in zip(_shapes(shp), _records(dbf), strict=dbf is not None):
                     rows.append((file.path, *shape, record))
                     if len(rows) == ROWS_PER_BATCH:
                         yield pd.DataFrame(rows, columns=columns)

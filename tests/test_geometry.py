@@ -81,7 +81,10 @@ def test_diagonal_misses_a_box_its_envelope_meets(spark):
     assert vector.range_query(line, Box(3, 0, 4, 1)).count() == 0
     assert vector.range_query(line, Box(1, 0, 2, 1)).count() == 1
     assert vector.range_query(line, Box(-1, -1, 5, 5), "contains").count() == 1
-    assert vector.range_query(line, Box(0, 0, 4, 4), "contains").count() == 0
+    assert vector.range_query(line, Box(0, 0, 4, 4), "contains").count() == 1
+    assert vector.range_query(line, Box(0, 0, 4, 3), "contains").count() == 0
+    edge = spark.range(1).select(G.line(*[F.lit(v) for v in (0.0, 0.0, 0.0, 4.0)]).alias("path"))
+    assert vector.range_query(edge, Box(0, 0, 4, 4), "contains").count() == 0
 
 
 def test_box(spark):

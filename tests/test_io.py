@@ -372,3 +372,18 @@ def test_failing_writer_leaves_nothing(spark, points, tmp_path):
     with pytest.raises(Exception, match="disk on fire"):
         points.write.format("broken").mode("append").save(str(tmp_path / "out"))
     assert not list((tmp_path / "out").glob("*"))
+
+
+def test_short_bil_is_refused(spark, tmp_path):
+    put(tmp_path / "r.hdr", "NROWS 4\nNCOLS 3\n")
+    put(tmp_path / "r.bil", bytes(4 * 3 * 3))
+    with pytest.raises(ValueError, match="36 bytes"):
+        bil.load_bil(spark, f"{tmp_path}/r")
+
+
+@pytest.mark.parametrize("line", ['{"type":"Feature","geometry":{"type":"Point","coord', '{"geometry":null}', '{"type":"Feat"}'])
+def test_geojson_lines_without_a_feature_are_refused(spark, tmp_path, line):
+    good = '{"type":"Feature","geometry":{"type":"Point","coordinates":[1,2]},"properties":{}}'
+    frame = geojson.load_geojson(spark, put(tmp_path / "f.json", f"{good}\n\n{line}\n"), layout="lines")
+    with pytest.raises(Exception):
+        frame.collect()

@@ -174,3 +174,13 @@ def test_penman_monteith_job_on_stored_rasters(spark, tmp_path):
     expected = as_dict(jobs.penman_monteith(stack), "le")
     assert found.keys() == expected.keys() and len(found) > 0
     assert all(abs(found[k] - v) <= 1e-12 * abs(v) for k, v in expected.items())
+
+
+def test_tiles_refuse_duplicates_and_drop_pixels_outside(spark):
+    grid = Grid(0.0, 10.0, 10.0, 0.0, 4326, 10, 10, 10, 10)
+    twice = spark.createDataFrame([(1, 1, 1.0), (1, 1, 2.0)], "x int, y int, value double")
+    with pytest.raises(Exception, match="two pixels at one place"):
+        raster.to_tiles(twice, grid).collect()
+    outside = spark.createDataFrame([(-1, 0, 1.0), (9, 9, 2.0)], "x int, y int, value double")
+    back = raster.flatten(raster.to_tiles(outside, grid), grid).collect()
+    assert [(r.x, r.y, r.value) for r in back] == [(9, 9, 2.0)]
