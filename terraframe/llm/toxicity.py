@@ -25,6 +25,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from .text import BROADCAST_BYTES, settle, small_enough
 
 ORDER, DISCOUNT, STRENGTH, SHARE = 6, 0.75, 50.0, 0.01
+# Differences per character far beyond this are compressed before the logistic curve: very short texts reach large ones.
+UNIT = 0.001
 # At most this many grams, and as many contexts, reach the tasks: per hash slot the most frequent one.
 SLOTS = 1 << 21
 # At most about this many labelled rows calibrate the score.
@@ -184,9 +186,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and offset by Newton's method with a small ridge; without both classes, a constant."""
     if not len(y) or y.min() == y.max():
         return 0.0, (-20.0 if not len(y) or not y.max() else 20.0)
-    scale = max(float(np.std(x)), 1e-9)
-    a = np.stack([x / scale, np.ones(len(x))], axis=1)
-    w, ridge = np.zeros(2), np.array([1e-2, 1e-4])
+    a = np.stack([x, np.ones(len(x))], axis=1)
+    w, ridge = np.zeros(2), np.array([1e-3, 1e-4])
 
     def loss(w: np.ndarray) -> float:
         z = a @ w
@@ -201,7 +202,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
         w = w - step
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0] / scale), float(w[1])
+    return float(w[0]), float(w[1])
 
 
 def held_out(id_col: Column) -> Column:
@@ -241,9 +242,9 @@ def score_toxicity(
     share = F.pmod(F.xxhash64(F.lit("calibration"), F.col("id")), F.lit(1 << 20)) < int(min(1.0, calibration_rows / max(1, aside)) * (1 << 20))
     sample = _read(train.where(slice_ & share).select("y", "text"), spark.sparkContext.broadcast(_ratios(part, slots)), SHARE)
     pairs = np.array([tuple(r) for r in sample.collect()], float).reshape(-1, 2)
-    slope, offset = _logistic(pairs[:, 1], pairs[:, 0])
+    slope, offset = _logistic(np.arcsinh(pairs[:, 1] / UNIT), pairs[:, 0])
     read = _read(rows, spark.sparkContext.broadcast(_ratios(full, slots)), SHARE)
-    score = 1.0 / (1.0 + F.exp(-(slope * F.col("x") + offset)))
+    score = 1.0 / (1.0 + F.exp(-(slope * F.asinh(F.col("x") / UNIT) + offset)))
     return read.select(
         F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), score.alias("score"),
         (score >= threshold).cast("int").alias("predicted"), *(["row"] if carry else []),
