@@ -7,17 +7,19 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-KNOWN_PIECES = 1 << 19
-_KEPT = re.compile(r" ?[^ \n]+|[ \n]")
-_DROPPED = re.compile(r"[^ \n]+")
+KNOWN_PIECES = 1 << 20
+# Letters for sure, and a run of them that ends for sure: before ASCII punctuation, a blank, a line end or the end.
+_LETTERS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u01ba]++(?=[!-/:-@\[-`{-~ \n]|\Z)"
+_KEPT = re.compile(rf" ?{_LETTERS}| ?[^ \n]+|[ \n]")
+_DROPPED = re.compile(rf"{_LETTERS}|[^ \n]+")
 _TWICE = re.compile(r"\s\s")
 
 
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers, the same as from encoding the text in one go.
 
-    Neither kind of tokenizer lets a token cross the start of white space, so a text is the sequence of its pieces
-    between single blanks and line ends. If white space counts (``kept``), texts with two white-space characters in a
+    Neither kind of tokenizer lets a token cross the start of white space or the end of a run of letters, so a text is the
+    sequence of its pieces between single blanks and line ends, cut once more where such a run ends. If white space counts (``kept``), texts with two white-space characters in a
     row are encoded whole, and so are texts that may hold a special token.
     """
 
