@@ -83,8 +83,8 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, sequence
         encoder, end = Encoder(tokenizer, kept=False), np.array([end_id], "<u4").tobytes()
         for b in batches:
             out: list[tuple[int, int, int, int, int]] = []
-            for number, text in enumerate(b.column(1)):
-                ids = encoder.of(text.as_py()) + end
+            for number, own in enumerate(encoder.each(text.as_py() for text in b.column(1))):
+                ids = own + end
                 total = len(ids) // 4
                 for start in range(0, total, sequence):
                     part = memoryview(ids)[4 * start : 4 * (start + sequence)]

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from tokenizers import Tokenizer
 
 KNOWN_PIECES = 1 << 20
+# Texts are cut together up to this many characters, and their new pieces encoded together.
+CHUNK = 1 << 20
 # Letters for sure, and a run of them that ends for sure: before ASCII punctuation, a blank, a line end or the end.
-_LETTERS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u01ba]++(?=[!-/:-@\[-`{-~ \n]|\Z)"
+_LETTERS = r"[A-Za-zÀ-ÖØ-öø-ƺ]++(?=[!-/:-@\[-`{-~ \n]|\Z)"
 _KEPT = re.compile(rf" ?{_LETTERS}| ?[^ \n]+|[ \n]")
 _DROPPED = re.compile(rf"{_LETTERS}|[^ \n]+")
 _TWICE = re.compile(r"\s\s")
@@ -19,25 +23,55 @@ class Encoder:
     """Ids as little-endian unsigned 32-bit integers, the same as from encoding the text in one go.
 
     Neither kind of tokenizer lets a token cross the start of white space or the end of a run of letters, so a text is the
-    sequence of its pieces between single blanks and line ends, cut once more where such a run ends. If white space counts (``kept``), texts with two white-space characters in a
-    row are encoded whole, and so are texts that may hold a special token.
+    sequence of its pieces between single blanks and line ends, cut once more where such a run ends. If white space
+    counts (``kept``), texts with two white-space characters in a row are encoded whole, and so are texts that may hold a
+    special token.
     """
 
     def __init__(self, path: str, kept: bool) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self._tokenizer, self._kept, self._known = Tokenizer.from_file(path), kept, {}
+        # What parts pieces that are encoded together: a line end, or a bar between blanks.
+        self._mark, self._between = ("\n", "\n") if kept else ("|", " | ")
+        self._mark_ids = self._ids(self._mark)
 
-    def _plain(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode pieces in one go and part the ids at the marks; one by one if the marks do not come out."""
+        joined = [p for p in new if self._mark not in p and not p[-1].isspace()] if len(self._mark_ids) == 1 else []
+        if joined:
+            ids = self._ids(self._between.join(joined))
+            at = np.flatnonzero(ids == self._mark_ids[0])
+            if len(at) == len(joined) - 1:
+                data, starts, stops = ids.tobytes(), [0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), 4 * len(ids)]
+                self._known.update(zip(joined, [data[a:b] for a, b in zip(starts, stops, strict=True)], strict=True))
+        for p in new:
+            if p not in self._known:
+                self._known[p] = self._ids(p).tobytes()
+
+    def _chunk(self, texts: list[str]) -> Iterator[bytes]:
+        if len(self._known) > KNOWN_PIECES:
+            self._known.clear()
+        find = (_KEPT if self._kept else _DROPPED).findall
+        cut = [None if "<|" in t or (self._kept and _TWICE.search(t)) else find(t) for t in texts]
+        if new := set().union(*[pieces for pieces in cut if pieces]).difference(self._known):
+            self._learn(list(new))
+        known = self._known.__getitem__
+        for text, pieces in zip(texts, cut, strict=True):
+            yield self._ids(text).tobytes() if pieces is None else b"".join(map(known, pieces))
+
+    def each(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of one text after the other; a null text has none."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text or "")
+            size += len(held[-1])
+            if size >= CHUNK:
+                yield from self._chunk(held)
+                held, size = [], 0
+        yield from self._chunk(held)
 
     def of(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if "<|" in text or (self._kept and _TWICE.search(text)):
-            return self._plain(text)
-        known = self._known
-        if len(known) > KNOWN_PIECES:
-            known.clear()
-        pieces = (_KEPT if self._kept else _DROPPED).findall(text)
-        for p in set(pieces).difference(known):
-            known[p] = self._plain(p)
-        return b"".join([known[p] for p in pieces])
+        return next(self.each([text]))

@@ -174,8 +174,8 @@ def write_shards(
         parts, ids, lengths = [], [], []
         for b in batches:
             ids += b.column(0).to_pylist()
-            for text in b.column(1):
-                own = np.append(np.frombuffer(encoder.of(text.as_py()), "<u4"), end)
+            for found in encoder.each(text.as_py() for text in b.column(1)):
+                own = np.append(np.frombuffer(found, "<u4"), end)
                 parts.append(own.astype(np.uint16) if own.max() < 1 << 16 else own)
                 lengths.append(len(own))
         if not ids:

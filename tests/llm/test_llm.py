@@ -120,8 +120,12 @@ def test_encoder_equals_the_library(path, kept):
     alphabet = "abé1. \n\t'sÅ\u0301<|Σ\x1c\u3000,"
     cases = ["a  b", "\n\nfoo", " x", "x ", "<|endoftext|> hi", "It's 12 o'clock,\tnow", "  ", "don't,stop 'tis"]
     encoder = tokens.Encoder(path, kept)
-    for text in cases + ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 25))) for _ in range(2000)]:
-        assert list(np.frombuffer(encoder.of(text), "<u4")) == whole.encode(text, add_special_tokens=False).ids, text
+    cases += ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 25))) for _ in range(2000)] + ["a | b", "|", "x|y", "｜", "", None]
+    want = [whole.encode(text or "", add_special_tokens=False).ids for text in cases]
+    for text, ids in zip(cases, want, strict=True):
+        assert list(np.frombuffer(encoder.of(text), "<u4")) == ids, text
+    together = tokens.Encoder(path, kept).each(cases)
+    assert [list(np.frombuffer(found, "<u4")) for found in together] == want
 
 
 def test_wavelet_matrix():
