@@ -277,7 +277,24 @@ def _path_from_text(text: Column) -> Column:
     return F.transform(F.split(text, ","), parse)
 
 
+def by_role(polygons: Column) -> Column:
+    """Rings of polygons in one array: shells counter-clockwise, holes clockwise, whatever way they came.
+
+    ``polygons`` holds rings by position, the shell of each polygon first.
+    """
+
+    def turned(ring: Column, position: Column) -> Column:
+        area = ring_area(ring)
+        return F.when(F.when(position == 0, area < 0).otherwise(area > 0), F.reverse(ring)).otherwise(ring)
+
+    return F.flatten(F.transform(polygons, lambda rings: F.transform(rings, turned)))
+
+
 def rings_from_wkt(wkt: Column) -> Column:
-    """Rings of a POLYGON or MULTIPOLYGON (parts flattened), or the path of a LINESTRING."""
-    body = F.regexp_replace(F.regexp_replace(wkt, r"^[^(]*\(+", ""), r"\)+\s*$", "")
-    return F.transform(F.split(body, r"\)+\s*,\s*\(+"), _path_from_text)
+    """Rings of a POLYGON or MULTIPOLYGON (parts flattened, turned by role), or the paths of lines."""
+    body = F.regexp_replace(F.regexp_replace(wkt, r"^[^(]*[(\s]+", ""), r"[)\s]+$", "")
+    parts = F.transform(
+        F.split(body, r"\)\s*\)\s*,\s*\(\s*\("),
+        lambda part: F.transform(F.split(part, r"\)\s*,\s*\("), _path_from_text),
+    )
+    return F.when(wkt.rlike(r"(?i)^\s*(MULTI)?POLYGON"), by_role(parts)).otherwise(F.flatten(parts))

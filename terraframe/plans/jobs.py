@@ -193,12 +193,14 @@ def run_penman_monteith(
     """The Penman-Monteith job on stored rasters.
 
     ``paths`` maps the bands ``t, t_a, u, r_sd, r_ld, r_lu, alpha, p`` to TIFF files or to
-    tile tables in Parquet, all in the tile layout of ``grid``; the first layer of each is
-    used. One tile overlay brings them together; the result is written as tiles.
+    tile tables in Parquet; the first layer of each is used. Tile tables must be in the layout
+    of ``grid``; images are checked against it and cut anew where their tiles differ. One tile
+    overlay brings them together; the result is written as tiles.
     """
     layers = []
     for band, path in paths.items():
-        tiles = tiff.load_tiff(spark, path) if path.lower().endswith((".tif", ".tiff")) else rasters.read_tiles(spark, path)
+        image = path.lower().endswith((".tif", ".tiff"))
+        tiles = tiff.load_on_grid(spark, path, grid) if image else rasters.read_tiles(spark, path)
         if "band" in tiles.columns:
             tiles = raster.select_band(tiles, 0)
         value = "tile" if "tile" in tiles.columns else band

@@ -174,6 +174,11 @@ ORACLE: dict[str, str] = {
     "polygon_centroid": f"""{FEATURES}, areas AS (SELECT *, 2 * w * h AS whole, (w - w / 6) * h / 2 AS cut FROM parcels)
         SELECT c_custkey, round(cx - cut * (w + w / 6) / 3 / (whole - cut), 6) + 0::DOUBLE AS x,
         round(cy + cut * h / 3 / (whole - cut), 6) + 0::DOUBLE AS y FROM areas""",
+    # The hole has a sixteenth of the area and its centre a quarter of the width to the right.
+    "polygon_centroid_holes": f"""{FEATURES} SELECT c_custkey, round(cx - w / 60, 6) + 0::DOUBLE AS x,
+        round(cy, 6) + 0::DOUBLE AS y FROM parcels""",
+    "range_contains_boxes": f"""{FEATURES} SELECT name FROM granules
+        WHERE minx >= -128 AND maxx <= -64 AND miny >= 27 AND maxy <= 54""",
     "drop_to_2d": f"""{FEATURES} SELECT 'point' AS kind, round(x, 6) + 0::DOUBLE AS minx, round(y, 6) + 0::DOUBLE AS miny,
         round(x, 6) + 0::DOUBLE AS maxx, round(y, 6) + 0::DOUBLE AS maxy FROM points
         UNION ALL SELECT 'box', {_round('minx', 'miny', 'maxx', 'maxy')} FROM granules""",

@@ -448,6 +448,30 @@ def polygon_centroid(spark, folder):
     )
 
 
+@query
+def polygon_centroid_holes(spark, folder):
+    """Polygons with holes from WKT and from GeoJSON text; their rings turn either way."""
+    shapes = testbed.holed_parcels(spark, folder)
+    as_wkt = F.col("c_custkey") % 4 < 2
+    wkt = shapes.where(as_wkt).select("c_custkey", G.rings_from_wkt(G.wkt_polygon(F.col("rings"))).alias("rings"))
+    positions = F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
+    text = F.concat(
+        F.lit('{"type":"Feature","geometry":{"type":"Polygon","coordinates":'), F.to_json(positions),
+        F.lit('},"properties":'), F.to_json(F.struct("c_custkey")), F.lit("}"),
+    )
+    json = geojson.parse_geojson(shapes.where(~as_wkt).select(text.alias("value")), "c_custkey bigint")
+    centre = G.polygon_centroid(F.col("rings"))
+    return wkt.unionByName(json.select("c_custkey", "rings")).select(
+        "c_custkey", F.round(centre["x"], 6).alias("x"), F.round(centre["y"], 6).alias("y")
+    )
+
+
+@query
+def range_contains_boxes(spark, folder):
+    """Boxes in a rectangle of which some touch the border from inside."""
+    return vector.range_query(testbed.granules(spark, folder), Box(-128.0, 27.0, -64.0, 54.0), "contains").select("name")
+
+
 @query
 def drop_to_2d(spark, folder):
     """Points with three ordinates and boxes with three dimensions, reduced to two."""

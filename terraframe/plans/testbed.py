@@ -121,6 +121,24 @@ def parcels(spark: SparkSession, folder: str, dent: bool = False) -> DataFrame:
     return _diamond(shapes, dent)
 
 
+def holed_parcels(spark: SparkSession, folder: str) -> DataFrame:
+    """Diamonds of the customer table with a hole each; shells and holes turn either way."""
+
+    def ring(cx: str, w: str, h: str) -> str:
+        corners = [(f"{cx} + {w}", "cy"), (cx, f"cy + {h}"), (f"{cx} - {w}", "cy"), (cx, f"cy - {h}")]
+        return "array(" + ", ".join(f"named_struct('x', {x}, 'y', {y})" for x, y in [*corners, corners[0]]) + ")"
+
+    shapes = table(spark, folder, "customer").selectExpr(
+        "c_custkey", *_point("c_custkey", "cx", "cy"), "0.2D + (c_custkey % 50) / 10D AS w",
+        "(0.2D + (c_custkey % 50) / 10D) / 2D AS h",
+    )
+    shell, hole = ring("cx", "w", "h"), ring("(cx + w / 4D)", "w / 4D", "h / 4D")
+    return shapes.selectExpr(
+        "c_custkey",
+        f"array(if(c_custkey % 3 = 0, reverse({shell}), {shell}), if(c_custkey % 2 = 0, reverse({hole}), {hole})) AS rings",
+    )
+
+
 def road_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Road-format CSV text from the orders table, with a quoted field that has a comma."""
     ends = table(spark, folder, "orders").selectExpr(

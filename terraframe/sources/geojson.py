@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import geometry as G
 from ..operators.vector import with_envelope
 
 RING = "array<array<double>>"
@@ -23,8 +24,9 @@ def _geometry(kind: Column, coordinates: Column) -> tuple[Column, Column, Column
     position = parsed("array<double>")
     rings = (
         F.when(kind == "LineString", F.array(_points(parsed(RING))))
-        .when(kind.isin("Polygon", "MultiLineString"), F.transform(parsed(f"array<{RING}>"), _points))
-        .when(kind == "MultiPolygon", F.transform(F.flatten(parsed(f"array<array<{RING}>>")), _points))
+        .when(kind == "MultiLineString", F.transform(parsed(f"array<{RING}>"), _points))
+        .when(kind == "Polygon", G.by_role(F.array(F.transform(parsed(f"array<{RING}>"), _points))))
+        .when(kind == "MultiPolygon", G.by_role(F.transform(parsed(f"array<array<{RING}>>"), lambda p: F.transform(p, _points))))
         .when(kind.isNull() | (kind == "Point"), F.lit(None))
         .otherwise(F.raise_error(F.concat(F.lit("unsupported GeoJSON geometry: "), kind)))
     )
@@ -33,14 +35,15 @@ def _geometry(kind: Column, coordinates: Column) -> tuple[Column, Column, Column
 
 
 def load_geojson(
-    spark: SparkSession, path: str, properties: str | None = None, layout: str = "collection"
+    spark: SparkSession, path: str, properties: str | None = None, layout: str = "lines"
 ) -> DataFrame:
     """Features with ``geom_type, x, y, rings``, their box, and their properties.
 
     ``properties`` is a DDL string whose fields become columns; without it they stay
-    one ``map<string,string>`` column. Layout ``collection`` reads whole documents, one
-    task per file. Layout ``lines`` wants one feature per line (either plain line-delimited
-    features or a collection written that way) and splits large files over tasks.
+    one ``map<string,string>`` column. Layout ``lines`` wants one feature per line (either
+    plain line-delimited features or a collection written that way; anything else raises an
+    error) and splits large files over tasks. Layout ``collection`` reads whole documents
+    of any layout, one task per file.
     """
     if layout == "collection":
         files = spark.read.schema(f"type string, features array<{_feature_type(properties)}>")

@@ -7,23 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from ..grid import Grid
 from ..operators.raster import TILE
 
-SINGLE_FILE_BYTES = 512 << 20
-
 
 def write_tiles(
     tiles: DataFrame, path: str, grid: Grid, *, write_mode: str = "distributed", mode: str = "errorifexists"
 ) -> None:
     """Store a tile table.
 
-    ``distributed`` lets every task write its tiles. ``compatibility`` gives a single
-    file; it needs one task, so it is allowed only for grids that are known to fit one
-    (the bound follows from the grid, not from the data).
+    ``distributed`` lets every task write its tiles as they lie. ``compatibility`` orders them
+    by tile row and column over all files: a raster that fits one task becomes a single
+    file, a larger one a run of files, each written by its own task.
     """
     if write_mode == "compatibility":
-        bound = grid.tiles_across * grid.tiles_down * grid.tile_pixels * 8 * (len(tiles.columns) - len(TILE))
-        if bound > SINGLE_FILE_BYTES:
-            raise ValueError(f"a raster of up to {bound} bytes is too large for a single file; write it distributed")
-        tiles = tiles.coalesce(1).sortWithinPartitions("ty", "tx")
+        tiles = tiles.repartitionByRange("ty", "tx").sortWithinPartitions("ty", "tx")
     elif write_mode != "distributed":
         raise ValueError(f"write_mode must be 'distributed' or 'compatibility', not {write_mode!r}")
     tiles.write.mode(mode).parquet(path)

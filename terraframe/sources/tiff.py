@@ -8,10 +8,15 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..grid import Grid
+from ..operators import raster
 
 SCHEMA = (
     "path string, width int, height int, tile_width int, tile_height int, "
@@ -98,3 +103,24 @@ def load_tiff(spark: SparkSession, path: str) -> DataFrame:
     """Tile rows of all images under ``path``, in the tile (or strip) layout of each file."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(_decode, SCHEMA)
+
+
+def load_on_grid(spark: SparkSession, path: str, grid: Grid, band: int = 0) -> DataFrame:
+    """Tiles ``(tx, ty, tile)`` of one band of one image, in the tile layout of ``grid``.
+
+    The image must have the size of the grid, and ``path`` must match one image only: tiles of
+    several images would share their keys. An image stored in other tiles, or in strips, is
+    cut anew. The layout of every tile is compared again where it is read.
+    """
+    if len(spark.read.format("binaryFile").load(path).select("path").limit(2).collect()) != 1:
+        raise ValueError(f"{path} must match exactly one image")
+    tiles = raster.select_band(load_tiff(spark, path), band)
+    names = ("width", "height", "tile_width", "tile_height")
+    found = tiles.select(*names).first()
+    if found is None or (found.width, found.height) != (grid.width, grid.height):
+        raise ValueError(f"{path} has no band {band} of {grid.width} x {grid.height} pixels")
+    stored = replace(grid, tile_width=found.tile_width, tile_height=found.tile_height)
+    same = F.struct(*names) == F.struct(*[F.lit(getattr(stored, n)).alias(n) for n in names])
+    wrong = F.raise_error(F.concat(F.lit("the image layout changes within "), "path")).cast("int")
+    tiles = tiles.select(F.when(same, F.col("tx")).otherwise(wrong).alias("tx"), "ty", "tile")
+    return tiles if stored == grid else raster.to_tiles(raster.flatten(tiles, stored), grid)

@@ -42,6 +42,15 @@ class _Part(WriterCommitMessage):
     name: str
 
 
+def _qualified(path: str, default: str) -> str:
+    """A path with its file system: without a scheme it lies in Spark's default one, as for Spark's own writers."""
+    if "://" in path or path.startswith("file:") or default.startswith("file:"):
+        return path
+    if not path.startswith("/"):
+        raise ValueError(f"a path in {default} must be absolute, not {path!r}")
+    return default.rstrip("/") + path
+
+
 def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
@@ -71,11 +80,12 @@ class _PartWriter(DataSourceWriter):
         if old and not self.overwrite:
             system.delete_dir(staging)
             raise FileExistsError(f"{self.path} already holds features; write in overwrite mode")
-        for file in old:
-            system.delete_file(file.path)
+        # New parts first, so that a failure never leaves fewer features than before.
         for message in messages:
             if message is not None:
                 system.move(f"{staging}/{message.name}", f"{target}/{message.name}")
+        for file in old:
+            system.delete_file(file.path)
         system.delete_dir(staging)
 
     def abort(self, messages: list[_Part | None]) -> None:
@@ -90,6 +100,7 @@ def register_feature_writer(spark: SparkSession, writer: type[FeatureWriter]) ->
     Spark offers modes ``append`` and ``overwrite`` to such sources; ``append`` is
     refused when the folder already holds features, as the default of a write is.
     """
+    default = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
 
     class Source(DataSource):
         @classmethod
@@ -97,6 +108,6 @@ def register_feature_writer(spark: SparkSession, writer: type[FeatureWriter]) ->
             return writer.short_name
 
         def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-            return _PartWriter(writer, schema, self.options["path"], overwrite)
+            return _PartWriter(writer, schema, _qualified(self.options["path"], default), overwrite)
 
     spark.dataSource.register(Source)

@@ -37,6 +37,19 @@ def test_centroids(spark):
     assert tuple(value(spot, G.line_centroid(F.col("rings")[0]))) == (3.0, 4.0)
 
 
+def test_rings_turn_by_role(spark):
+    back, inner = "0 0, 0 4, 4 4, 4 0, 0 0", "0 0, 2 0, 2 2, 0 2, 0 0"
+    for shell in (SHELL, back):
+        for hole in (inner, "0 0, 0 2, 2 2, 2 0, 0 0"):
+            holed = shape(spark, f"POLYGON (({shell}), ({hole}))")
+            x, y = value(holed, G.polygon_centroid(F.col("rings")))
+            assert math.isclose(x, (16 * 2 - 4 * 1) / 12) and math.isclose(y, x)
+    two = shape(spark, f" multipolygon ( ( ({back}), ({inner}) ), ((8 8, 8 9, 9 9, 8 8)) )")
+    assert [r.v for r in two.select(F.explode(F.transform("rings", G.ring_area)).alias("v")).collect()] == [16.0, -4.0, 0.5]
+    lines = shape(spark, "MULTILINESTRING ((0 0, 0 1, 1 1), (4 4, 5 5))")
+    assert [[tuple(p) for p in path] for path in value(lines, F.col("rings"))] == [[(0, 0), (0, 1), (1, 1)], [(4, 4), (5, 5)]]
+
+
 def test_length_and_area(spark):
     line = shape(spark, "LINESTRING (0 0, 3 4, 3 10)")
     assert value(line, G.path_length(F.col("rings")[0])) == 11.0

@@ -14,7 +14,7 @@ from terraframe.grid import Grid
 from terraframe.operators import raster
 from terraframe.plans import jobs
 from terraframe.sources import bil, features, geojson, roads, shapefile, tiff
-from terraframe.sources.writers import FeatureWriter, register_feature_writer
+from terraframe.sources.writers import FeatureWriter, _qualified, register_feature_writer
 
 
 def put(path, data):
@@ -64,12 +64,12 @@ def check_features(frame):
 
 def test_geojson_layouts(spark, tmp_path):
     whole = put(tmp_path / "a.geojson", json.dumps({"type": "FeatureCollection", "features": COLLECTION}, indent=1))
-    check_features(geojson.load_geojson(spark, whole, "name string, n int"))
+    check_features(geojson.load_geojson(spark, whole, "name string, n int", layout="collection"))
     by_line = ('{"type":"FeatureCollection","features":[' + ",\n".join(json.dumps(f) for f in COLLECTION) + "]}")
     lines = put(tmp_path / "b.geojson", by_line)
     check_features(geojson.load_geojson(spark, lines, "name string, n int", layout="lines"))
     plain = put(tmp_path / "c.geojson", "\n".join(json.dumps(f) for f in COLLECTION))
-    check_features(geojson.load_geojson(spark, plain, "name string, n int", layout="lines"))
+    check_features(geojson.load_geojson(spark, plain, "name string, n int"))
     assert geojson.load_geojson(spark, plain, layout="lines").first().properties == {"name": "p", "n": "1"}
 
 
@@ -387,3 +387,24 @@ def test_geojson_lines_without_a_feature_are_refused(spark, tmp_path, line):
     frame = geojson.load_geojson(spark, put(tmp_path / "f.json", f"{good}\n\n{line}\n"), layout="lines")
     with pytest.raises(Exception):
         frame.collect()
+
+
+@pytest.mark.parametrize(("stored", "wanted"), [(None, 2), (4, 2), (4, 4), (None, 3)])
+def test_tiff_is_cut_to_the_grid(spark, tmp_path, stored, wanted):
+    image = np.arange(6 * 4 * 2).reshape(6, 4, 2).astype("int16")
+    path = put(tmp_path / "in" / "a.tif", tif("<", image, stored))
+    grid = Grid(0, 0, 4, 6, 4326, 4, 6, wanted, wanted)
+    pixels = raster.flatten(tiff.load_on_grid(spark, path, grid), grid)
+    assert {(r.x, r.y): r.tile for r in pixels.collect()} == {(x, y): float(image[y, x, 0]) for x in range(4) for y in range(6)}
+    with pytest.raises(ValueError, match="4 x 7"):
+        tiff.load_on_grid(spark, path, Grid(0, 0, 4, 7, 4326, 4, 7, 2, 2))
+    put(tmp_path / "in" / "b.tif", tif("<", image, stored))
+    with pytest.raises(ValueError, match="exactly one"):
+        tiff.load_on_grid(spark, f"{tmp_path}/in", grid)
+
+
+def test_writer_paths_lie_in_the_default_file_system():
+    assert _qualified("/a/b", "hdfs://name:9000/") == "hdfs://name:9000/a/b"
+    assert _qualified("/a/b", "file:///") == "/a/b" and _qualified("s3://k/a", "hdfs://name") == "s3://k/a"
+    with pytest.raises(ValueError, match="absolute"):
+        _qualified("a", "hdfs://name")
