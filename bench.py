@@ -23,8 +23,8 @@ HEADLINE = [
     "et_penman_monteith", "fao56_et0", "overlay_3way", "overlay_outer", "overlay_tiles", "rasterize", "flatten",
     "raster_minmax", "tile_count", "reshape_nn", "range_query_count", "range_pushdown", "range_polygons",
     "pip_intersects", "pip_contains", "pip_concave", "pip_parcels", "pip_attributes", "geotag_points",
-    "envelope_join", "road_segments", "feature_summary", "polygon_centroid", "spatial_partition", "indexed_range",
-    "pyramid_counts", "cluster_cells", "granule_missing",
+    "envelope_join", "join_parcels_regions", "join_regions_contain", "range_polygon_shapes", "road_segments", "feature_summary", "polygon_centroid", "spatial_partition", "indexed_range",
+    "pyramid_counts", "index_pyramid", "cluster_cells", "granule_missing",
 ]
 
 

@@ -148,22 +148,25 @@ def crossings(outline: Column, px: Column, py: Column) -> Column:
     return F.size(F.filter(outline, crossed))
 
 
-def on_border(outline: Column, px: Column, py: Column, tol: float = BORDER) -> Column:
-    """Whether the point lies within ``tol`` of an edge."""
+def _side(e: Column, px: Column, py: Column) -> Column:
+    """Twice the signed area of an edge and a point: positive if the point is to the left."""
+    return (e["x2"] - e["x1"]) * (py - e["y1"]) - (px - e["x1"]) * (e["y2"] - e["y1"])
+
+
+def _touches(e: Column, px: Column, py: Column, tol: float) -> Column:
     slack = F.lit(tol)
+    return (
+        (py >= F.least(e["y1"], e["y2"]) - slack)
+        & (py <= F.greatest(e["y1"], e["y2"]) + slack)
+        & (px >= F.least(e["x1"], e["x2"]) - slack)
+        & (px <= F.greatest(e["x1"], e["x2"]) + slack)
+        & (F.abs(_side(e, px, py)) <= slack * F.hypot(e["x2"] - e["x1"], e["y2"] - e["y1"]))
+    )
 
-    def touches(e: Column) -> Column:
-        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-        side = dx * (py - e["y1"]) - (px - e["x1"]) * dy
-        return (
-            (py >= F.least(e["y1"], e["y2"]) - slack)
-            & (py <= F.greatest(e["y1"], e["y2"]) + slack)
-            & (px >= F.least(e["x1"], e["x2"]) - slack)
-            & (px <= F.greatest(e["x1"], e["x2"]) + slack)
-            & (F.abs(side) <= slack * F.hypot(dx, dy))
-        )
 
-    return F.exists(outline, touches)
+def on_border(outline: Column, px: Column, py: Column, tol: float = BORDER) -> Column:
+    """Whether the point lies within ``tol`` of an edge."""
+    return F.exists(outline, lambda e: _touches(e, px, py, tol))
 
 
 def point_matches(outline: Column, px: Column, py: Column, predicate: str, tol: float = BORDER) -> Column:
@@ -176,6 +179,101 @@ def point_matches(outline: Column, px: Column, py: Column, predicate: str, tol:
     raise ValueError(f"predicate must be 'contains' or 'intersects', not {predicate!r}")
 
 
+def shapes_meet(
+    a: Column, b: Column, a_area: Column | bool = True, b_area: Column | bool = True, tol: float = BORDER
+) -> Column:
+    """Whether two outlines (with their insides, where they are areas) share a point."""
+
+    def apart(e: Column, f: Column) -> Column:
+        return (
+            (F.greatest(e["x1"], e["x2"]) < F.least(f["x1"], f["x2"]) - tol)
+            | (F.least(e["x1"], e["x2"]) > F.greatest(f["x1"], f["x2"]) + tol)
+            | (F.greatest(e["y1"], e["y2"]) < F.least(f["y1"], f["y2"]) - tol)
+            | (F.least(e["y1"], e["y2"]) > F.greatest(f["y1"], f["y2"]) + tol)
+        )
+
+    def meet(e: Column, f: Column) -> Column:
+        ends = [_touches(f, e["x1"], e["y1"], tol), _touches(f, e["x2"], e["y2"], tol),
+                _touches(e, f["x1"], f["y1"], tol), _touches(e, f["x2"], f["y2"], tol)]
+        across = ((_side(f, e["x1"], e["y1"]) > 0) != (_side(f, e["x2"], e["y2"]) > 0)) & (
+            (_side(e, f["x1"], f["y1"]) > 0) != (_side(e, f["x2"], f["y2"]) > 0)
+        )
+        return ~apart(e, f) & (across | ends[0] | ends[1] | ends[2] | ends[3])
+
+    def holds(outline: Column, other: Column) -> Column:
+        # Where no edges meet, each part of the other shape is wholly inside or outside.
+        return F.exists(other, lambda e: crossings(outline, e["x1"], e["y1"]) % 2 == 1)
+
+    found = F.exists(a, lambda e: F.exists(b, lambda f: meet(e, f)))
+    for area, outline, other in ((a_area, a, b), (b_area, b, a)):
+        if area is not False:
+            found = found | (holds(outline, other) if area is True else area & holds(outline, other))
+    return found
+
+
+def _pieces(outline: Column, cutter: Column, tol: float) -> Column:
+    """The edges of an outline cut where they meet another one: midpoint and direction of each piece."""
+
+    def cuts(e: Column) -> Column:
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+
+        def at(f: Column) -> Column:
+            fx, fy = f["x2"] - f["x1"], f["y2"] - f["y1"]
+            gx, gy = f["x1"] - e["x1"], f["y1"] - e["y1"]
+            det = dx * fy - dy * fx
+            beside = F.try_divide(gx * dy - gy * dx, det).between(-1e-9, 1 + 1e-9)
+            along = F.when(_touches(e, f["x1"], f["y1"], tol), F.try_divide(gx * dx + gy * dy, dx * dx + dy * dy))
+            return F.array(F.when(beside, F.try_divide(gx * fy - gy * fx, det)), along)
+
+        inner = F.filter(F.flatten(F.transform(cutter, at)), lambda t: (t > 0) & (t < 1))
+        return F.array_sort(F.concat(F.array(F.lit(0.0)), inner, F.array(F.lit(1.0))))
+
+    def split(e: Column) -> Column:
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+
+        def between(t: Column) -> Column:
+            steps = F.zip_with(
+                F.slice(t, 1, F.size(t) - 1), F.slice(t, 2, F.size(t) - 1),
+                lambda low, high: F.struct(((low + high) / 2).alias("t"), (high - low).alias("share")),
+            )
+            return F.transform(
+                F.filter(steps, lambda s: s["share"] > 1e-9),
+                lambda s: F.struct(
+                    (e["x1"] + s["t"] * dx).alias("x"), (e["y1"] + s["t"] * dy).alias("y"),
+                    (s["share"] * dx).alias("dx"), (s["share"] * dy).alias("dy"),
+                ),
+            )
+
+        return F.flatten(F.transform(F.array(cuts(e)), between))
+
+    return F.flatten(F.transform(outline, split))
+
+
+def lies_within(shape: Column, polygon: Column, area: Column | bool = True, tol: float = BORDER) -> Column:
+    """Whether nothing of a line or area is outside a polygon and some of it is off the border.
+
+    All edges are cut where the two outlines meet, so each piece is on one side as a whole. Of an area, the inner side of
+    each piece is looked at, a millionth of its length away; narrower gaps are not seen.
+    """
+    own = _pieces(shape, polygon, tol)
+    line = F.forall(own, lambda m: point_matches(polygon, m["x"], m["y"], "intersects", tol)) & F.exists(
+        own, lambda m: point_matches(polygon, m["x"], m["y"], "contains", tol)
+    )
+    if area is False:
+        return line
+
+    def inner_side(m: Column) -> Column:
+        step = 1e-6
+        left, right = ((m["x"] - s * m["dy"], m["y"] + s * m["dx"]) for s in (step, -step))
+        in_left = crossings(shape, *left) % 2 == 1
+        return F.when(in_left, crossings(polygon, *left)).otherwise(crossings(polygon, *right)) % 2 == 1
+
+    whole = F.forall(own, inner_side) & ~F.exists(
+        _pieces(polygon, shape, tol), lambda m: point_matches(shape, m["x"], m["y"], "contains", tol)
+    )
+    return whole if area is True else F.when(area, whole).otherwise(line)
+
+
 def any_edge_in_box(outline: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
     """Whether an edge meets a closed rectangle."""
     corners = [(x, y) for x in (minx, maxx) for y in (miny, maxy)]

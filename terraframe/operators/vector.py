@@ -69,19 +69,49 @@ def range_query(features: DataFrame, box: Box, predicate: str = "intersects") ->
 
 
 def within_polygon(
-    points: DataFrame, rings: list[list[tuple[float, float]]], predicate: str = "contains", tol: float = G.BORDER
+    features: DataFrame, rings: list[list[tuple[float, float]]], predicate: str = "contains", tol: float = G.BORDER
 ) -> DataFrame:
-    """Points in one given polygon (closed rings of coordinates), by any point predicate.
+    """Features in one given polygon (closed rings of coordinates).
 
-    The box of the polygon is tested first, on plain columns.
+    ``contains`` asks for features of which nothing is outside and some part is off the border, ``intersects`` for a
+    common point. The box of the polygon is tested first, on plain columns where they are stored.
     """
     corners = [p for ring in rings for p in ring]
     box = Box(*[f(p[i] for p in corners) for f, i in ((min, 0), (min, 1), (max, 0), (max, 1))])
     outline = F.flatten(
         F.array(*[G.path_edges(F.array(*[G.point(F.lit(float(x)), F.lit(float(y))) for x, y in r])) for r in rings])
     )
-    near = points.where(in_range(points, Box(box.minx - tol, box.miny - tol, box.maxx + tol, box.maxy + tol)))
-    return near.where(G.point_matches(outline, F.col("x"), F.col("y"), predicate, tol))
+    near = features.where(in_range(features, Box(box.minx - tol, box.miny - tol, box.maxx + tol, box.maxy + tol)))
+    return near.where(_matches_polygon(features, outline, predicate, tol))
+
+
+def _matches_polygon(features: DataFrame, outline: Column, predicate: str, tol: float) -> Column:
+    names = features.columns
+    area: Column | bool = False
+    if "rings" in names:
+        area = F.lower("geom_type").like("%polygon") if "geom_type" in names else True
+        own = G.edges(F.col("rings"))
+    elif "path" in names:
+        own = G.path_edges(F.col("path"))
+    elif "x" in names:
+        return G.point_matches(outline, F.col("x"), F.col("y"), predicate, tol)
+    else:
+        own, area = G.path_edges(_box_ring()), True
+    if predicate == "intersects":
+        shaped = G.shapes_meet(own, outline, area, True, tol)
+    elif predicate == "contains":
+        shaped = G.lies_within(own, outline, area, tol)
+    else:
+        raise ValueError(f"predicate must be 'contains' or 'intersects', not {predicate!r}")
+    if "rings" in names and "x" in names:
+        spot = G.point_matches(outline, F.col("x"), F.col("y"), predicate, tol)
+        return F.when(F.col("rings").isNull(), spot).otherwise(shaped)
+    return shaped
+
+
+def _box_ring() -> Column:
+    corners = [("minx", "miny"), ("maxx", "miny"), ("maxx", "maxy"), ("minx", "maxy"), ("minx", "miny")]
+    return F.array(*[G.point(F.col(x), F.col(y)) for x, y in corners])
 
 
 def count_features(features: DataFrame, alias: str = "n_features") -> DataFrame:

@@ -15,6 +15,10 @@ from ..functions.geometry import Box
 from .vector import with_envelope
 
 
+# Levels of a pyramid rolled up between two shuffles; a task's group has at most 4 ** 7 tiles.
+LEVELS_AT_ONCE = 8
+
+
 def data_bounds(features: DataFrame) -> Box | None:
     """Bounding box of a feature set (one row reaches the driver)."""
     boxed = features if "minx" in features.columns else with_envelope(features)
@@ -33,9 +37,9 @@ def pyramid(
 
     Tiles are cut from the square over the data (or over ``bounds``); features
     are placed by the centre of their box, and the far edge belongs to the last tile.
-    Features are counted once on the deepest level; each deepest tile is then added
-    to all its ancestors, partly before the shuffle. Tiles with a count not above
-    ``threshold`` are left out.
+    Features are counted once on the deepest level; some levels at a time are then rolled up
+    in place below a common ancestor, and the level above goes on from there. Tiles with a
+    count not above ``threshold`` are left out.
     """
     if not 0 <= min_level <= max_level <= 30:
         raise ValueError("levels must satisfy 0 <= min_level <= max_level <= 30")
@@ -51,24 +55,46 @@ def pyramid(
     centre_x = (F.col("minx") + F.col("maxx")) / 2
     centre_y = (F.col("miny") + F.col("maxy")) / 2
     inside = centre_x.between(bounds.minx, bounds.minx + side) & centre_y.between(bounds.miny, bounds.miny + side)
-    deepest = (
+    counts = (
         boxed.where(inside)
-        .groupBy(index(centre_x, bounds.minx).alias("dx"), index(centre_y, bounds.miny).alias("dy"))
-        .agg(F.count("*").alias("n"))
-    )
-    ancestors = F.transform(
-        F.sequence(F.lit(min_level), F.lit(max_level)),
-        lambda z: F.struct(
-            z.alias("z"),
-            F.call_function("shiftright", F.col("dx"), F.lit(max_level) - z).alias("tx"),
-            F.call_function("shiftright", F.col("dy"), F.lit(max_level) - z).alias("ty"),
-        ),
+        .groupBy(index(centre_x, bounds.minx).alias("tx"), index(centre_y, bounds.miny).alias("ty"))
+        .agg(F.count("*").alias("n_features"))
     )
-    levels = deepest.select(F.explode(ancestors).alias("t"), "n").select("t.*", "n")
-    counted = levels.groupBy("z", "tx", "ty").agg(F.sum("n").alias("n_features"))
+    counted, top = None, max_level
+    while True:
+        low = max(min_level, top - LEVELS_AT_ONCE + 1)
+        levels = _roll_up(counts, low, top)
+        counted = levels if counted is None else counted.unionByName(levels)
+        if low == min_level:
+            break
+        counts = levels.where(F.col("z") == low).select(
+            F.shiftright("tx", 1).alias("tx"), F.shiftright("ty", 1).alias("ty"), "n_features"
+        )
+        top = low - 1
     return counted if threshold <= 0 else counted.where(F.col("n_features") > threshold)
 
 
+def _roll_up(counts: DataFrame, low: int, top: int) -> DataFrame:
+    """Levels ``low..top`` of a table of the tiles of level ``top``.
+
+    Tiles are placed by their ancestor on level ``low``, which has at most ``4 ** (top - low)`` of them, so the sums of all
+    levels are made where the tiles are.
+    """
+    home = [F.shiftright(c, top - low).alias(f"_{c}") for c in ("tx", "ty")]
+    placed = counts.select("tx", "ty", "n_features", *home).repartition("_tx", "_ty")
+    ancestors = F.array(*[
+        F.struct(
+            F.lit(z).alias("z"), F.shiftright("tx", top - z).alias("tx"), F.shiftright("ty", top - z).alias("ty")
+        )
+        for z in range(low, top + 1)
+    ])
+    rows = placed.select("_tx", "_ty", "n_features", F.explode(ancestors).alias("t"))
+    summed = rows.select("_tx", "_ty", "t.*", "n_features").groupBy("_tx", "_ty", "z", "tx", "ty").agg(
+        F.sum("n_features").alias("n_features")
+    )
+    return summed.drop("_tx", "_ty")
+
+
 @dataclass(frozen=True)
 class Canvas:
     """An image of ``width`` x ``height`` pixels over a map box."""

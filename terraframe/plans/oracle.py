@@ -179,6 +179,21 @@ ORACLE: dict[str, str] = {
         round(cy, 6) + 0::DOUBLE AS y FROM parcels""",
     "range_contains_boxes": f"""{FEATURES} SELECT name FROM granules
         WHERE minx >= -128 AND maxx <= -64 AND miny >= 27 AND maxy <= 54""",
+    # Diamonds of one proportion meet (or lie in each other) where their sizes add up to (or make up for) the distance.
+    "join_parcels_regions": f"""{FEATURES} SELECT region_id, c_custkey FROM regions r JOIN parcels p
+        ON abs(p.cx - r.cx) / (30 + w) + abs(p.cy - r.cy) / (15 + h) <= 1 + 1e-9""",
+    "join_regions_contain": f"""{FEATURES} SELECT region_id, c_custkey FROM regions r JOIN parcels p
+        ON abs(p.cx - r.cx) / 30 + abs(p.cy - r.cy) / 15 + w / 30 <= 1 + 1e-9""",
+    # The distance of a line's points from a diamond is smallest at an end or on one of the diamond's axes.
+    "join_roads_regions": f"""{FEATURES}, scaled AS (SELECT region_id, o_orderkey, (x1 - cx) / 30 AS u, (y1 - cy) / 15 AS v,
+            (x2 - x1) / 30 AS du, (y2 - y1) / 15 AS dv FROM roads, regions),
+        places AS (SELECT *, greatest(0, least(1, coalesce(-u / nullif(du, 0), 0))) AS s,
+            greatest(0, least(1, coalesce(-v / nullif(dv, 0), 0))) AS t FROM scaled)
+        SELECT region_id, o_orderkey FROM places WHERE least(abs(u) + abs(v), abs(u + du) + abs(v + dv),
+            abs(u + s * du) + abs(v + s * dv), abs(u + t * du) + abs(v + t * dv)) <= 1 + 1e-9""",
+    "range_polygon_shapes": f"""{FEATURES}
+        SELECT c_custkey, 'intersects' AS predicate FROM parcels WHERE abs(cx) / (90 + w) + abs(cy) / (45 + h) <= 1 + 1e-9
+        UNION ALL SELECT c_custkey, 'contains' FROM parcels WHERE abs(cx) / 90 + abs(cy) / 45 + w / 90 <= 1 + 1e-9""",
     "drop_to_2d": f"""{FEATURES} SELECT 'point' AS kind, round(x, 6) + 0::DOUBLE AS minx, round(y, 6) + 0::DOUBLE AS miny,
         round(x, 6) + 0::DOUBLE AS maxx, round(y, 6) + 0::DOUBLE AS maxy FROM points
         UNION ALL SELECT 'box', {_round('minx', 'miny', 'maxx', 'maxy')} FROM granules""",
@@ -207,3 +222,8 @@ ORACLE["overlay_tiles"] = ORACLE["overlay_3way"]
 ORACLE["raster_store"] = ORACLE["flatten"]
 ORACLE["wkt_polygons"] = ORACLE["polygon_mbr"]
 ORACLE["csv_points"] = ORACLE["geotag_points"]
+ORACLE["wkt_store"] = ORACLE["polygon_mbr"]
+ORACLE["convert_formats"] = ORACLE["geojson_features"]
+ORACLE["overwrite_store"] = ORACLE["feature_load"]
+ORACLE["summary_json"] = ORACLE["feature_summary"]
+ORACLE["index_pyramid"] = ORACLE["pyramid_counts"]

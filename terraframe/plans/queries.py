@@ -484,6 +484,100 @@ def drop_to_2d(spark, folder):
     return _rounded(flat.unionByName(boxes), minx=6, miny=6, maxx=6, maxy=6)
 
 
+# Joins and range queries of lines and polygons
+
+
+@query
+def join_parcels_regions(spark, folder):
+    """Polygons that share a point with polygons."""
+    parcels = testbed.parcels(spark, folder).withColumnRenamed("rings", "shape").select("c_custkey", "shape")
+    pairs = spatial_join.shape_join(testbed.regions(spark, folder), parcels, right_shape="shape", tol=1e-9, algorithm="pbsm")
+    return pairs.select("region_id", "c_custkey")
+
+
+@query
+def join_regions_contain(spark, folder):
+    """Polygons wholly inside polygons, a common border allowed."""
+    parcels = testbed.parcels(spark, folder).withColumnRenamed("rings", "shape").select("c_custkey", "shape")
+    pairs = spatial_join.shape_join(testbed.regions(spark, folder), parcels, "contains", right_shape="shape", tol=1e-9)
+    return pairs.select("region_id", "c_custkey")
+
+
+@query
+def join_roads_regions(spark, folder):
+    """Lines that share a point with polygons; the parsed lines are stored, since the join reads them several times."""
+    path = shared_folder(spark, "roads")
+    parsed = _roads(spark, folder).select(F.get("attrs", F.lit(0)).cast("bigint").alias("o_orderkey"), "path")
+    features.save_features(parsed, path, "parquet")
+    lines = features.load_features(spark, path, "parquet")
+    pairs = spatial_join.shape_join(testbed.regions(spark, folder), lines, tol=1e-9, algorithm="pbsm")
+    return pairs.select("region_id", "o_orderkey")
+
+
+# A diamond with the proportions of the parcels.
+DIAMOND = [(90.0, 0.0), (0.0, 45.0), (-90.0, 0.0), (0.0, -45.0), (90.0, 0.0)]
+
+
+@query
+def range_polygon_shapes(spark, folder):
+    """Polygons that meet one given polygon, and those that lie in it."""
+    shapes = testbed.parcels(spark, folder)
+    found = [
+        vector.within_polygon(shapes, [DIAMOND], predicate, tol=1e-9).select("c_custkey", F.lit(predicate).alias("predicate"))
+        for predicate in ("intersects", "contains")
+    ]
+    return found[0].unionByName(found[1])
+
+
+# Stores
+
+
+@query
+def wkt_store(spark, folder):
+    """Polygons written as WKT by many tasks and loaded again by format name."""
+    path = shared_folder(spark, "wkt")
+    features.save_features(testbed.parcels(spark, folder), path, "wkt")
+    stored = features.load_features(spark, path, "wkt").select(F.col("c_custkey").cast("bigint"), *vector.BOX)
+    return _rounded(stored, minx=6, miny=6, maxx=6, maxy=6)
+
+
+@query
+def convert_formats(spark, folder):
+    """Points stored as Parquet, converted to GeoJSON and loaded from there."""
+    source, target = shared_folder(spark, "points"), shared_folder(spark, "converted")
+    features.save_features(testbed.points(spark, folder).select("event_id", "event_type", "x", "y"), source, "parquet")
+    features.convert(spark, source, target, "parquet", "geojson")
+    stored = features.load_features(spark, target, "geojson", properties="event_id bigint, event_type string")
+    return _rounded(stored.select("event_id", "event_type", "geom_type", "x", "y"), x=6, y=6)
+
+
+@query
+def overwrite_store(spark, folder):
+    """A stored feature set replaced by another one."""
+    path, found = shared_folder(spark, "points"), testbed.points(spark, folder)
+    features.save_features(found.withColumn("value", F.lit(0.0)), path, "parquet")
+    features.save_features(found, path, "parquet", overwrite=True)
+    return _rounded(features.load_features(spark, path, "parquet"), x=6, y=6)
+
+
+@query
+def summary_json(spark, folder):
+    """The summary as JSON text, parsed again."""
+    shapes = testbed.parcels(spark, folder)
+    kind = vector.summarize(shapes).schema.simpleString()
+    parsed = F.from_json("json", f"struct<summary:{kind}>", {"mode": "FAILFAST"})
+    summary = vector.summary_json(shapes).select(parsed["summary"].alias("s")).select("s.*")
+    return _rounded(summary, minx=6, miny=6, maxx=6, maxy=6, avg_width=6, avg_height=6)
+
+
+@query
+def index_pyramid(spark, folder):
+    """The index-and-visualize job from features to the stored pyramid."""
+    index, plot = shared_folder(spark, "index"), shared_folder(spark, "pyramid")
+    jobs.index_and_visualize(spark, testbed.points(spark, folder), index, plot)
+    return spark.read.parquet(plot)
+
+
 # Partitioning and index
 
 

@@ -31,7 +31,7 @@ def test_no_cross_join_and_no_row_at_a_time_python(plans, name):
 @pytest.mark.parametrize(
     ("name", "count"),
     [("et_penman_monteith", 3), ("overlay_3way", 3), ("overlay_outer", 2), ("rasterize", 1), ("raster_load", 0),
-     ("reshape_nn", 0), ("svp_slope", 0), ("raster_minmax", 1), ("cluster_cells", 1), ("pyramid_counts", 2),
+     ("reshape_nn", 0), ("svp_slope", 0), ("raster_minmax", 1), ("cluster_cells", 1),
      ("range_query", 0), ("range_query_count", 1), ("pip_intersects", 0), ("geotag_points", 0), ("granule_select", 0),
      ("road_segments", 0), ("polygon_centroid", 0), ("feature_summary", 1), ("flatten", 1), ("tile_count", 3)],
 )

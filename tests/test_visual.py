@@ -29,6 +29,25 @@ def test_levels_equal_a_direct_aggregate(points):
     assert rolled.exceptAll(direct).isEmpty() and direct.exceptAll(rolled).isEmpty()
 
 
+def test_tiles_are_shuffled_once_per_band_of_levels(spark, points, tmp_path):
+    points.write.parquet(str(tmp_path / "points"))
+    rolled = visual.pyramid(spark.read.parquet(str(tmp_path / "points")), 0, 19)
+    rolled.collect()
+    text = rolled._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    shuffles = [x for x in text.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+    # The counts of the deepest level, then the deepest tiles, those above level 11 and those above level 3.
+    assert len(shuffles) == 4 and sum("_tx" in x for x in shuffles) == 3
+
+
+@pytest.mark.parametrize("low, high", [(0, 7), (0, 8), (3, 12), (5, 5), (0, 30)])
+def test_bands_of_levels_join_up(points, low, high):
+    box = visual.data_bounds(points)
+    rolled = visual.pyramid(points, low, high, bounds=box)
+    for z in {low, (low + high) // 2, max(low, high - 8), high}:
+        one, direct = rolled.where(F.col("z") == z), visual.pyramid(points, z, z, bounds=box)
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, direct.collect()))
+
+
 def test_threshold_and_bounds(points):
     box = Box(0, 0, 4, 4)
     inside = points.where("x between 0 and 4 and y between 0 and 4").count()
