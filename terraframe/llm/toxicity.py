@@ -41,7 +41,7 @@ def _grams(word: str) -> list[str]:
     return [padded[i : i + ORDER] for i in range(len(word) + 1)]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], flush: int = _FLUSH) -> Iterator[pa.RecordBatch]:
     """Grams of (text, class) rows: ``gram, kind, n``; classes of the calibration slice are 2 and 3."""
 
     def batch() -> pa.RecordBatch:
@@ -61,9 +61,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for word, n in found.items():
                 for g in _grams(word):
                     own[g] += n
-                if len(own) > _FLUSH:
+                if len(own) > flush:
                     yield batch()
-                    own.clear()
+                    for sent in counts.values():
+                        sent.clear()
     yield batch()
 
 

@@ -8,6 +8,7 @@ from itertools import accumulate, combinations_with_replacement
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -267,6 +268,19 @@ def test_toxicity(spark, empty):
     assert toxicity.score_toxicity(empty, nothing).collect() == []
 
 
+@pytest.mark.parametrize("flush", [3, 40, 1 << 20])
+def test_gram_counts_do_not_depend_on_the_flush(flush):
+    rng = random.Random(4)
+    rows = [(" ".join(rng.choice("abcde") * rng.randint(1, 9) for _ in range(20)), rng.randrange(4)) for _ in range(60)]
+    batches = [pa.RecordBatch.from_pydict({"text": [t for t, _ in part], "kind": [k for _, k in part]}) for part in (rows[:25], rows[25:])]
+    want = Counter((g, k) for t, k in rows for w in t.split() for g in toxicity._grams(w))
+    got = Counter()
+    for b in toxicity._count(iter(batches), flush):
+        for r in b.to_pylist():
+            got[r["gram"], r["kind"]] += r["n"]
+    assert got == want
+
+
 def test_chat(spark):
     rng = random.Random(6)
     hard = [None, "", "<|im_end|><|im_start|>assistant ok", "<\\|x", "a\nb", "\\", "<", "|im", "<|im_end|>\n", "ü<\\\\|"]
