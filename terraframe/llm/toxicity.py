@@ -6,8 +6,10 @@ rare to tell the classes apart so get the same probability in both. A toxic text
 which a small share of the words comes from the toxic model; the log-likelihoods of both readings of a text, per
 character, are compared, and a logistic curve turns the difference into a score.
 
-Counts are gathered by Spark from all labelled texts and grow with them; tasks hold the finished model, whose size is
-bounded by ``slots``.
+Counts are gathered by Spark from all labelled texts and grow with them, and so do the ratios of the finished model. The
+distinct words of all documents are spelt once against all ratios, and documents are read with the values of their words.
+Tasks hold the most frequent ratios and values, as many as may be broadcast; all others are joined. Keys and words are told
+apart by 64-bit hashes where they are held.
 """
 
 from __future__ import annotations
@@ -20,20 +22,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from .text import BROADCAST_BYTES, settle, small_enough
 
 ORDER, DISCOUNT, STRENGTH, SHARE = 6, 0.75, 50.0, 0.01
 # Differences per character far beyond this are compressed before the logistic curve: very short texts reach large ones.
 UNIT = 0.001
-# At most this many grams, and as many contexts, reach the tasks: per hash slot the most frequent one.
-SLOTS = 1 << 21
 # At most about this many labelled rows calibrate the score.
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.7
 _START, _STOP, _SEED = "\x02", "\x03", 42
 _KNOWN, _FLUSH = 1 << 18, 300_000
+# A hash and a value held by tasks.
+_ROW_BYTES = 16
 
 
 def _grams(word: str) -> list[str]:
@@ -89,8 +91,11 @@ def _shared(grams: DataFrame) -> DataFrame:
     return lower.select(F.col("short").alias("gram"), F.col("p").alias("shared"))
 
 
-def _ratios(grams: DataFrame, slots: int) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """Log-likelihood ratios of seen grams, and of unseen ones after a seen context, by 64-bit hash."""
+def _ratios(grams: DataFrame) -> DataFrame:
+    """``key, n, value``: log-likelihood ratios of all seen grams, and by context those of unseen grams after it.
+
+    A gram has ORDER characters and a context one less, so the keys do not mix.
+    """
     rows = grams.withColumn("context", F.expr("left(gram, length(gram) - 1)"))
     around = rows.groupBy("context").agg(*[
         x for i in (0, 1) for x in (
@@ -106,81 +111,179 @@ def _ratios(grams: DataFrame, slots: int) -> tuple[dict[str, np.ndarray], dict[s
         return (own + free(i) * F.col("shared")) / (STRENGTH + F.col(f"of{i}"))
 
     seen = rows.join(_shared(grams), "gram").join(around, "context").select(
-        F.col("gram").alias("key"), (F.log(probability(1)) - F.log(probability(0))).alias("ratio"), (F.col("n0") + F.col("n1")).alias("n")
+        F.col("gram").alias("key"), (F.col("n0") + F.col("n1")).alias("n"),
+        (F.log(probability(1)) - F.log(probability(0))).alias("value"),
     )
     unseen = around.select(
         F.col("context").alias("key"), (F.col("of0") + F.col("of1")).alias("n"),
-        (F.log(free(1) / (STRENGTH + F.col("of1"))) - F.log(free(0) / (STRENGTH + F.col("of0")))).alias("ratio"),
+        (F.log(free(1) / (STRENGTH + F.col("of1"))) - F.log(free(0) / (STRENGTH + F.col("of0")))).alias("value"),
     )
-    return _bounded(seen, slots), _bounded(unseen, slots)
+    return settle(seen.unionByName(unseen), "toxicity-ratios")
 
 
-def _bounded(rows: DataFrame, slots: int) -> dict[str, np.ndarray]:
-    """At most one row per slot, sorted by hash."""
-    rows = rows.withColumn("hash", F.xxhash64("key"))
-    best = rows.groupBy(F.pmod("hash", F.lit(slots)).alias("slot")).agg(
-        F.max(F.struct("n", "hash", "ratio")).alias("best")
-    )
-    found = best.select("best.hash", F.col("best.ratio").cast("float").alias("ratio")).toArrow()
-    hashes, ratios = (found.column(c).to_numpy() for c in ("hash", "ratio"))
+def _held(rows: DataFrame, limit: int) -> tuple[tuple[np.ndarray, np.ndarray], bool]:
+    """Hashes, sorted, and values of the most frequent of ``hash, n, value`` that fit ``limit`` bytes; whether these are all."""
+    level = F.length(F.bin("n"))
+    sizes = dict(tuple(r) for r in rows.groupBy(level).count().collect())
+    least, total = 65, 0
+    for at in sorted(sizes, reverse=True):
+        total += _ROW_BYTES * sizes[at]
+        if total > limit:
+            break
+        least = at
+    found = rows.where(level >= least).select("hash", "value").toArrow()
+    hashes, values = (found.column(c).to_numpy() for c in ("hash", "value"))
     order = np.argsort(hashes)
-    return {"hash": hashes[order], "ratio": ratios[order]}
+    return (hashes[order], values[order]), least <= min(sizes, default=0) or not sizes
+
+
+def _hashes(keys: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(k, _SEED) for k in keys], np.uint64).view(np.int64)
+
 
+def _look_up(table: tuple[np.ndarray, np.ndarray], keys: list[str]) -> np.ndarray:
+    """Values, NaN where the table has no such key."""
+    held, values = table
+    if not len(held) or not keys:
+        return np.full(len(keys), np.nan)
+    hashes = _hashes(keys)
+    at = np.minimum(np.searchsorted(held, hashes), len(held) - 1)
+    return np.where(held[at] == hashes, values[at], np.nan)
 
-def _look_up(table: dict[str, np.ndarray], keys: list[str]) -> np.ndarray:
-    """Ratios, NaN where the table has no such key."""
-    if not len(table["hash"]) or not keys:
-        return np.full(len(keys), np.nan, np.float32)
-    hashes = np.array([xxhash.xxh64_intdigest(k, _SEED) for k in keys], np.uint64).view(np.int64)
-    at = np.minimum(np.searchsorted(table["hash"], hashes), len(table["hash"]) - 1)
-    return np.where(table["hash"][at] == hashes, table["ratio"][at], np.float32(np.nan))
+
+def _words(docs: DataFrame) -> DataFrame:
+    """``hash, n, word`` of every distinct word of all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+
+        def batch() -> pa.RecordBatch:
+            columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["word", "n"])
+
+        for b in batches:
+            for text in b.column(0):
+                counts.update((text.as_py() or "").lower().split())
+                if len(counts) > _FLUSH:
+                    yield batch()
+                    counts.clear()
+        yield batch()
+
+    found = docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return found.select(F.xxhash64("word").alias("hash"), "n", "word")
+
+
+def _values(words: DataFrame, ratios: DataFrame, share: float, limit: int) -> DataFrame:
+    """``hash, n, value`` per word: the log-likelihood ratio of a text with toxic words to one without, at this word.
+
+    Grams that tasks do not hold are joined with the ratios, by the gram or else by its context.
+    """
+    held, whole = _held(ratios.select(F.xxhash64("key").alias("hash"), "n", "value"), limit)
+    held = words.sparkSession.sparkContext.broadcast(held)
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in (b.slice(i, 4096) for i in range(0, b.num_rows, 4096)):
+                spelt = [_grams(w) for w in part.column(2).to_pylist()]
+                flat, starts = [g for s in spelt for g in s], np.cumsum([0, *map(len, spelt)])
+                ratio = _look_up(held.value, flat)
+                open_ = np.flatnonzero(np.isnan(ratio))
+                ratio[open_] = np.nan_to_num(_look_up(held.value, [flat[i][:-1] for i in open_])) if whole else 0.0
+                left = [] if whole else [flat[i] for i in open_]
+                ends = np.searchsorted(open_, starts) if left else np.zeros(len(starts), int)
+                rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(left, pa.string()))
+                total = pa.array(np.add.reduceat(ratio, starts[:-1]))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), total, rest], ["hash", "n", "total", "rest"])
+
+    found = words.mapInArrow(spell, "hash bigint, n bigint, total double, rest array<string>")
+    if not whole:
+        found = settle(found, "toxicity-spelt")
+        by_gram, by_context = (ratios.select(F.col("key").alias(k), F.col("value").alias(v)) for k, v in (("gram", "own"), ("after", "open")))
+        need = found.select("hash", F.explode("rest").alias("gram")).join(by_gram, "gram", "left")
+        # A gram that is found equals no context and stays spread.
+        after = F.when(F.col("own").isNull(), F.expr("left(gram, length(gram) - 1)")).otherwise(F.col("gram"))
+        need = need.withColumn("after", after).join(by_context.where(F.length("after") < ORDER), "after", "left")
+        more = need.groupBy("hash").agg(F.sum(F.coalesce("own", "open", F.lit(0.0))).alias("more"))
+        found = found.join(more, "hash", "left").withColumn("total", F.col("total") + F.coalesce("more", F.lit(0.0)))
+    value = F.log1p(share * F.expm1(F.least("total", F.lit(60.0))))
+    return settle(found.select("hash", "n", value.alias("value")), "toxicity-words")
 
 
 class _Reader:
-    """Differences of log-likelihood per character; remembers words up to a fixed number."""
-
-    def __init__(self, seen: dict[str, np.ndarray], unseen: dict[str, np.ndarray], share: float) -> None:
-        self._seen, self._unseen, self._share, self._known = seen, unseen, share, {}
-
-    def _learn(self, words: list[str]) -> None:
-        spelt = [_grams(w) for w in words]
-        flat = [g for s in spelt for g in s]
-        ratio = _look_up(self._seen, flat)
-        open_ = np.flatnonzero(np.isnan(ratio))
-        ratio[open_] = np.nan_to_num(_look_up(self._unseen, [flat[i][:-1] for i in open_]))
-        starts = np.cumsum([0, *(len(s) for s in spelt[:-1])])
-        total = np.minimum(np.add.reduceat(ratio.astype(np.float64), starts), 60.0)
-        mixed = np.log1p(self._share * np.expm1(total))
-        self._known.update(zip(words, mixed.tolist(), strict=True))
-
-    def of(self, texts: list[str | None]) -> np.ndarray:
-        out = np.zeros(len(texts))
+    """Gains of texts by the values of their words; remembers words up to a fixed number."""
+
+    def __init__(self, table: tuple[np.ndarray, np.ndarray]) -> None:
+        self._table, self._known = table, {}
+
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[tuple[str, int]]]]:
+        """Per text the gain by known words, its characters and its other words with their numbers."""
+        gains, sizes, rest = np.zeros(len(texts)), np.zeros(len(texts), np.int64), []
         for i, text in enumerate(texts):
             words = Counter((text or "").lower().split())
             if len(self._known) > _KNOWN:
                 self._known.clear()
-            if new := [w for w in words if w not in self._known]:
-                for j in range(0, len(new), 4096):
-                    self._learn(new[j : j + 4096])
-            if words:
-                known = self._known
-                gain = sum([known[w] * n for w, n in words.items()])
-                out[i] = gain / sum([(len(w) + 1) * n for w, n in words.items()])
-        return out
-
-
-def _read(docs: DataFrame, held, share: float) -> DataFrame:
-    """Replace ``text`` by ``x``, the difference of log-likelihoods per character."""
-    kept = StructType([f for f in docs.schema.fields if f.name != "text"])
+            known = self._known
+            if new := [w for w in words if w not in known]:
+                known.update(zip(new, _look_up(self._table, new).tolist(), strict=True))
+            gain = sum([known[w] * n for w, n in words.items()])
+            others = []
+            if gain != gain:
+                others = [(w, n) for w, n in words.items() if known[w] != known[w]]
+                gain = sum([known[w] * n for w, n in words.items() if known[w] == known[w]])
+            gains[i], sizes[i] = gain, sum([(len(w) + 1) * n for w, n in words.items()])
+            rest.append(others)
+        return gains, sizes, rest
+
+
+def _read(docs: DataFrame, values: DataFrame, limit: int) -> DataFrame:
+    """Replace ``text`` by ``x``, the difference of log-likelihoods per character; ``values`` has all words of the texts.
+
+    Words that tasks do not hold are joined. A document is then known by its id and the hash of its text.
+    """
+    held, whole = _held(values, limit)
+    held = docs.sparkSession.sparkContext.broadcast(held)
+    rows = docs if whole else docs.select("id", "text", F.xxhash64("text").alias("of"))
+    kept = StructType([f for f in rows.schema.fields if f.name != "text"])
+    out = "gain double, size bigint, others bigint, rest array<struct<hash: bigint, n: bigint>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Reader(*held.value, share)
+        reader = _Reader(held.value)
         for b in batches:
-            x = reader.of(b.column(b.schema.names.index("text")).to_pylist())
+            gains, sizes, rest = reader.of(b.column(b.schema.names.index("text")).to_pylist())
+            flat = [p for r in rest for p in r]
+            pairs = pa.StructArray.from_arrays(
+                [pa.array(_hashes([w for w, _ in flat])), pa.array([n for _, n in flat], pa.int64())], ["hash", "n"]
+            )
+            others = pa.array([sum([n for _, n in r]) for r in rest], pa.int64())
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rest)]), pa.int32()), pairs)
             columns = [b.column(b.schema.names.index(n)) for n in kept.names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(x)], [*kept.names, "x"])
-
-    return docs.mapInArrow(run, StructType([*kept.fields, StructField("x", DoubleType())]))
+            columns += [pa.array(gains), pa.array(sizes), others, lists]
+            yield pa.RecordBatch.from_arrays(columns, [*kept.names, "gain", "size", "others", "rest"])
+
+    read = rows.mapInArrow(run, StructType([*kept.fields, *StructType.fromDDL(out).fields]))
+    x = F.when(F.col("size") > 0, F.col("gain") / F.col("size")).otherwise(0.0)
+    if whole:
+        return read.select(*kept.names, x.alias("x"))
+    read = settle(read, "toxicity-read")
+    few = read.select("id", "of", F.inline("rest")).join(values.select("hash", "value"), "hash")
+    # Repeated rows have the same words, so the mean over all of them is the mean of each.
+    mean = F.sum(F.col("n") * F.col("value")) / F.sum("n")
+    more = few.groupBy("id", "of").agg(mean.alias("mean")).toDF("_id", "_of", "mean")
+    read = read.drop("rest").join(more, F.col("id").eqNullSafe(F.col("_id")) & (F.col("of") == F.col("_of")), "left")
+    read = read.withColumn("gain", F.col("gain") + F.col("others") * F.coalesce("mean", F.lit(0.0)))
+    found = read.select("id", "of", x.alias("x"))
+    names = [n for n in docs.columns if n != "text"]
+    if names == ["id"]:
+        return found.select("id", "x")
+    found = settle(found.groupBy("id", "of").agg(F.max("x").alias("x")).toDF("_id", "_of", "x"), "toxicity-differences")
+    found = F.broadcast(found) if small_enough(found, 48, limit) else found
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_of"))
+    return docs.join(found, same).select(*names, "x")
+
+
+def _differences(docs: DataFrame, grams: DataFrame, share: float, limit: int) -> DataFrame:
+    """Replace ``text`` of documents with an ``id`` by ``x``, under the model of the counts ``gram, n0, n1``."""
+    return _read(docs, _values(_words(docs), _ratios(grams), share, limit), limit)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -212,7 +315,7 @@ def held_out(id_col: Column) -> Column:
 
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    threshold: float = THRESHOLD, slots: int = SLOTS, calibration_rows: int = CALIBRATION_ROWS,
+    threshold: float = THRESHOLD, calibration_rows: int = CALIBRATION_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES, carry: bool = False,
 ) -> DataFrame:
     """One row per document: ``id_col, held_out, score, predicted``; with ``carry`` also ``row``, all its columns.
@@ -223,7 +326,6 @@ def score_toxicity(
     constant. A null or empty text differs by 0. A null id is not held out and not learned from. Repeated rows
     give repeated results; an empty table gives an empty result; further columns are ignored.
     """
-    spark = docs.sparkSession
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
         *([F.struct("*").alias("row")] if carry else []),
@@ -241,10 +343,11 @@ def score_toxicity(
     full = counted.select("gram", (F.col("k0") + F.col("k2")).alias("n0"), (F.col("k1") + F.col("k3")).alias("n1"))
     aside = known.where(slice_).count()
     share = F.pmod(F.xxhash64(F.lit("calibration"), F.col("id")), F.lit(1 << 20)) < int(min(1.0, calibration_rows / max(1, aside)) * (1 << 20))
-    sample = _read(train.where(slice_ & share).select("y", "text"), spark.sparkContext.broadcast(_ratios(part, slots)), SHARE)
+    sample = settle(train.where(slice_ & share).select("id", "text", "y"), "toxicity-sample")
+    sample = _differences(sample, part, SHARE, broadcast_bytes).select("y", "x")
     pairs = np.array([tuple(r) for r in sample.collect()], float).reshape(-1, 2)
     slope, offset = _logistic(np.arcsinh(pairs[:, 1] / UNIT), pairs[:, 0])
-    read = _read(rows, spark.sparkContext.broadcast(_ratios(full, slots)), SHARE)
+    read = _differences(rows, full, SHARE, broadcast_bytes)
     score = 1.0 / (1.0 + F.exp(-(slope * F.asinh(F.col("x") / UNIT) + offset)))
     return read.select(
         F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), score.alias("score"),

@@ -281,6 +281,65 @@ def test_gram_counts_do_not_depend_on_the_flush(flush):
     assert got == want
 
 
+def toxicity_by_hand(rows, grams):
+    """Differences by the definition of the model, from dictionaries of all grams."""
+    order, less = toxicity.ORDER, toxicity.DISCOUNT
+    level, lower = {g: sum(n) for g, n in grams.items()}, None
+    levels = [level]
+    for _ in range(order - 1):
+        level = Counter(g[1:] for g in level)
+        levels.append(level)
+    for level in reversed(levels):
+        of, kinds = Counter(), Counter(g[:-1] for g in level)
+        for g, n in level.items():
+            of[g[:-1]] += n
+        below = lower
+        lower = {
+            g: (max(n - less, 0) + less * kinds[g[:-1]] * (below[g[1:]] if below else 1 / (kinds[g[:-1]] + 1))) / of[g[:-1]]
+            for g, n in level.items()
+        }
+    of, kinds = Counter(), Counter()
+    for g, n in grams.items():
+        for i in (0, 1):
+            of[g[:-1], i] += n[i]
+            kinds[g[:-1], i] += n[i] > 0
+
+    def ratio(g):
+        p, c = [], g[:-1]
+        for i in (0, 1):
+            free = toxicity.STRENGTH + less * kinds[c, i]
+            own = max(grams[g][i] - less, 0) + free * lower[g] if g in grams else free
+            p.append(own / (toxicity.STRENGTH + of[c, i]))
+        return np.log(p[1]) - np.log(p[0])
+
+    def x(text):
+        words = (text or "").lower().split()
+        gain = sum(np.log1p(toxicity.SHARE * np.expm1(min(sum(map(ratio, toxicity._grams(w))), 60.0))) for w in words)
+        return gain / max(1, sum(len(w) + 1 for w in words))
+
+    return Counter((i, round(x(t), 9)) for i, t in rows)
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 100_000, 0])
+def test_toxicity_keeps_every_gram(spark, limit):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuü") for _ in range(rng.randint(1, 12)))
+    known = [word() for _ in range(6000)]
+    grams = defaultdict(lambda: [0, 0])
+    for w in known:
+        for g in toxicity._grams(w):
+            grams[g][rng.randrange(2)] += rng.choice([1, 1, 2, 9])
+    rows = [(i, " ".join(rng.choice([word(), rng.choice(known).upper(), *known[:8]]) for _ in range(30))) for i in range(200)]
+    rows += [(7, rows[3][1]), rows[5], (None, rows[6][1]), (None, rows[6][1]), (-1, None), (-2, "")]
+    want = toxicity_by_hand(rows, dict(grams))
+    docs = spark.createDataFrame(rows, "id long, text string")
+    counts = spark.createDataFrame([(g, *n) for g, n in grams.items()], "gram string, n0 long, n1 long")
+    got = toxicity._differences(docs, counts, toxicity.SHARE, limit).collect()
+    assert Counter((r.id, round(r.x, 9)) for r in got) == want
+    carried = toxicity._differences(docs.withColumn("row", F.struct("id", "text")), counts, toxicity.SHARE, limit)
+    assert Counter((r.row.id, round(r.x, 9)) for r in carried.collect()) == want
+
+
 def test_chat(spark):
     rng = random.Random(6)
     hard = [None, "", "<|im_end|><|im_start|>assistant ok", "<\\|x", "a\nb", "\\", "<", "|im", "<|im_end|>\n", "ü<\\\\|"]
