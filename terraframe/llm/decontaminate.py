@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import settle, whole, without
+from .text import row_key, settle, whole, without
 from .words import WordHashes, shingles, word_blocks
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -115,6 +115,9 @@ def _search(held, size: int, threshold: float):
     return run
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that contain no benchmark item, with all their columns; a row with a null id stays."""
-    return without(docs, id_col, contained_items(docs, benchmark, id_col, **options).select(id_col))
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """The documents that contain no benchmark item, with all their columns; each row is judged by its own text."""
+    rows = docs.select(row_key(id_col, text_col).alias("_key"), F.col(text_col).alias("text"))
+    return without(docs, id_col, text_col, contained_items(rows, benchmark, "_key", **options).select("_key"))

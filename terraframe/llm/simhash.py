@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import settle, small_enough, without
+from .text import row_key, settle, small_enough, without
 from .words import word_blocks
 
 SHINGLE, SEED, BITS = 3, 42, 2
@@ -124,6 +124,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the smallest id of each component, with all its columns; rows with a null id stay."""
-    found = near_duplicates(docs, id_col, text_col)
-    return without(docs, id_col, found.where(F.col(id_col) > F.col("component_id")).select(id_col))
+    """One document of each component, with all its columns: the smallest id, null ids last, ties by a hash of the text.
+
+    Rows of equal id and equal text are told apart by nothing and stay or go together.
+    """
+    rows = docs.select(row_key(id_col, text_col).alias("_key"), F.col(text_col).alias("text"))
+    found = near_duplicates(rows, "_key")
+    return without(docs, id_col, text_col, found.where(F.col("_key") != F.col("component_id")).select("_key"))

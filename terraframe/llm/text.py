@@ -41,11 +41,18 @@ def small_enough(frame: DataFrame, bytes_per_row: int, limit: int = BROADCAST_BY
     return frame.count() * bytes_per_row <= limit
 
 
-def without(docs: DataFrame, id_col: str, dropped: DataFrame) -> DataFrame:
-    """The rows whose id is not among ``dropped`` (one column); null ids stay.
+def row_key(id_col: str, text_col: str) -> Column:
+    """What a row is told apart by: its id, null ids last in order, and a hash of its text."""
+    return F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("of"))
 
-    The ids are broadcast if they are few, so that no text moves; else both sides are shuffled.
+
+def without(docs: DataFrame, id_col: str, text_col: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose key (``row_key``) is not among ``dropped`` (one column); null ids are ids like any other.
+
+    The keys are broadcast if they are few, so that no text moves; else both sides are shuffled.
     """
-    ids = settle(dropped.toDF("_dropped").dropna().distinct(), "dropped-ids")
-    ids = F.broadcast(ids) if small_enough(ids, 16) else ids
-    return docs.join(ids, docs[id_col] == ids["_dropped"], "left_anti")
+    keys = dropped.toDF("_dropped").select(F.col("_dropped.id").alias("_id"), F.col("_dropped.of").alias("_of")).distinct()
+    keys = settle(keys, "dropped-rows")
+    keys = F.broadcast(keys) if small_enough(keys, 24) else keys
+    same = docs[id_col].eqNullSafe(keys["_id"]) & (F.xxhash64(docs[text_col]) == keys["_of"])
+    return docs.join(keys, same, "left_anti")

@@ -389,6 +389,18 @@ def test_decontamination(spark, docs, empty, block):
     assert decontaminate.contained_items(empty, items).collect() == [] == decontaminate.contained_items(docs, items.limit(0)).collect()
 
 
+def test_stages_judge_rows(spark):
+    word = lambda seed: " ".join(f"w{random.Random(seed + i).randrange(10**6)}" for i in range(0, 4000, 100))
+    item, clean, other = word(1), word(2), word(3)
+    rows = [(None, f"{clean} {item}"), (None, clean), (4, f"{other} {item}"), (4, other), (5, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert Counter(pairs(decontaminate.decontaminate(docs, items))) == Counter([rows[1], *rows[3:]])
+    near = [(None, clean), (None, clean.upper()), (7, other), (7, other.upper()), (None, other.title()), (8, item), (7, word(4))]
+    kept = pairs(simhash.drop_near_duplicates(spark.createDataFrame(near, "doc_id long, text string")))
+    assert Counter((i, (t or "").lower()) for i, t in kept) == Counter([(None, clean), (7, other), (8, item), (7, word(4))])
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
