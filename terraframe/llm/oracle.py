@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat import END, START
 from .decontaminate import SHINGLE, THRESHOLD
 from .license import NOTICE_SHARE, RARE_WORDS, TEMPLATES
+from .ranking import RISE, SLOPE, TOP, UNIT
 from .repeats import WINDOW
 from .text import LOWER, UPPER
 
@@ -96,7 +97,31 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        cast(sum(length(role) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + {len(START) + len(END) + 2}) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id"""
 
+ARCHIVED = """
+WITH d AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM g"""
+
+_TERMS = rf"regexp_extract_all({NORMAL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+RANKED = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents), i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS docs, cast(sum(len(w)) AS BIGINT) AS total FROM d),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+weights AS (SELECT term, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS weight FROM df, s),
+m AS (SELECT doc_id, {100 - SLOPE} + ({SLOPE} * len(w) * docs) // total AS m FROM d, s WHERE len(w) > 0),
+scores AS (
+  SELECT item_id, doc_id, cast(sum(weight * (({UNIT} * tf) // ({RISE} * tf + 20 * m))) AS BIGINT) AS score
+  FROM tf JOIN i USING (term) JOIN weights USING (term) JOIN m USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= {TOP}"""
+
 ORACLE = {
     "op1_license_scan": _license(), "op4_exact_dedup": EXACT, "op6_substring_dedup": REPEATS, "op9_chat_formatting": CHAT,
-    "op10_benchmark_decontamination": CONTAINED,
+    "op10_benchmark_decontamination": CONTAINED, "op12_warc": ARCHIVED,
+    "op13_lexical_search": RANKED,
 }

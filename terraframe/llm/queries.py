@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact, license, packing, repeats, shard, simhash, toxicity, wavelet
+from . import (
+    chat, decontaminate, exact, license, packing, ranking, repeats, shard, simhash, toxicity, variants, warc, wavelet,
+)
 from .text import table
 
 
@@ -57,10 +59,23 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, folder, "documents"))
+
+
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(table(spark, folder, "pages"))
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranking.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_simhash_near_dedup, op3_token_files, op4_exact_dedup, op5_sharding, op6_substring_dedup,
         op7_packing, op8_toxicity, op9_chat_formatting, op10_benchmark_decontamination,
+        op11_spelling_variants, op12_warc, op13_lexical_search,
     )
 }
