@@ -28,7 +28,7 @@ CHUNK_BYTES = 256 << 10
 FILE_BYTES = 64 << 20
 # Payloads of fewer bytes are always stored.
 LEAST_REVISIT = 100
-_READ = 256 << 10
+_READ, _LEVEL = 256 << 10, 3
 # Lines of the format.
 _VERSION, _END = b"WARC/1.1\r\n", b"\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -37,10 +37,10 @@ _DATE = "1970-01-01T00:00:00Z"
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add to chunks, which come in order, the bytes so far and, to a record's last one, the digest of the record."""
+    """Compress chunks, which come in order, and add the bytes so far and, to a record's last one, the record's digest."""
     digest, size = hashlib.sha256(), 0
     for b in batches:
-        sizes, digests = [], []
+        sizes, digests, packed = [], [], []
         at = b.schema.names.index("data")
         for chunk, last, data in zip(b.column("chunk").to_pylist(), b.column("last").to_pylist(), b.column(at), strict=True):
             if chunk == 0:
@@ -50,18 +50,21 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size += len(data)
             sizes.append(size)
             digests.append(digest.hexdigest() if last else None)
-        columns = [*b.columns, pa.array(sizes, pa.int64()), pa.array(digests, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, [*b.schema.names, "bytes", "sha256"])
+            packed.append(zlib.compress(data, _LEVEL))
+        columns = [c for n, c in zip(b.schema.names, b.columns, strict=True) if n != "data"]
+        columns += [pa.array(packed, pa.binary()), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, [*[n for n in b.schema.names if n != "data"], "packed", "bytes", "sha256"])
 
 
 def chunk_table(
     pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", uri_col: str | None = "url",
     chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """Payloads as written rows ``record, page, uri, chunk, last, data, bytes, sha256``.
+    """Payloads as written rows ``record, page, uri, chunk, last, packed, bytes, sha256``.
 
     ``record`` numbers the rows of the input, repeated ones too. A text is its UTF-8 bytes; null is an empty payload of one
-    empty chunk. ``bytes`` is the length up to a chunk, ``sha256`` stands in the last one.
+    empty chunk. ``packed`` is a chunk in zlib form, which is how it is stored and shuffled; ``bytes`` is the length up to a
+    chunk, ``sha256`` stands in the last one.
     """
     payload = F.col(payload_col)
     if pages.schema[payload_col].dataType.simpleString() != "binary":
@@ -77,8 +80,8 @@ def chunk_table(
         "record", "page", "uri", "chunk", (F.col("chunk") == F.col("of")).alias("last"),
         F.substring("payload", F.col("chunk") * chunk_bytes + 1, F.lit(chunk_bytes)).alias("data"),
     )
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in chunks.schema.fields)
-    return settle(chunks.mapInArrow(_digested, f"{kinds}, bytes bigint, sha256 string"), "warc-chunks")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in chunks.schema.fields if f.name != "data")
+    return settle(chunks.mapInArrow(_digested, f"{kinds}, packed binary, bytes bigint, sha256 string"), "warc-chunks")
 
 
 def revisits(chunks: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -135,7 +138,7 @@ class _Archive:
             self._own = f"part-{self._name}-{self._count:05d}.warc.gz"
             self._draft = f"{self._folder}/_{self._own}.{self._attempt}"
             self._out, self._records, self._count = self._files.open_output_stream(self._draft, compression=None), 0, self._count + 1
-        self._gzip = zlib.compressobj(3, zlib.DEFLATED, 31)
+        self._gzip = zlib.compressobj(_LEVEL, zlib.DEFLATED, 31)
 
     def put(self, data: bytes) -> None:
         if packed := self._gzip.compress(data):
@@ -169,13 +172,13 @@ def write_archives(chunks: DataFrame, repeats: DataFrame, path: str, file_bytes:
     first = chunks.where("chunk = 0").select("record", "page", "uri")
     heads = first.join(facts, "record").select(
         "record", F.lit(-1).alias("chunk"), F.col("page").cast("string").alias("page"), "uri", "total", F.col("digest").alias("sha256"),
-        _urn(F.col("record")).alias("urn"), _urn(F.col("refers_record")).alias("refers"), F.lit(None).cast("binary").alias("data"),
+        _urn(F.col("record")).alias("urn"), _urn(F.col("refers_record")).alias("refers"), F.lit(None).cast("binary").alias("packed"),
     )
     gone = repeats.select("record")
     stored = chunks.join(F.broadcast(gone) if small_enough(gone, 16) else gone, "record", "left_anti")
     bodies = stored.select(
         "record", "chunk", *[F.lit(None).cast("string").alias(n) for n in ("page", "uri")], F.lit(None).cast("bigint").alias("total"),
-        *[F.lit(None).cast("string").alias(n) for n in ("sha256", "urn", "refers")], "data",
+        *[F.lit(None).cast("string").alias(n) for n in ("sha256", "urn", "refers")], "packed",
     )
     parts = heads.unionByName(bodies).repartition("record").sortWithinPartitions("record", "chunk")
 
@@ -183,11 +186,11 @@ def write_archives(chunks: DataFrame, repeats: DataFrame, path: str, file_bytes:
         archive, opened = None, False
         for b in batches:
             heads_ = b.select(["page", "uri", "total", "sha256", "urn", "refers"])
-            data_at = b.schema.names.index("data")
+            data_at = b.schema.names.index("packed")
             for i, chunk in enumerate(b.column(b.schema.names.index("chunk")).to_pylist()):
                 archive = archive or _Archive(root, file_bytes)
                 if chunk >= 0:
-                    archive.put(memoryview(b.column(data_at)[i].as_buffer()))
+                    archive.put(zlib.decompress(b.column(data_at)[i].as_buffer()))
                     continue
                 if opened:
                     archive.put(_END)
