@@ -19,12 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .text import BROADCAST_BYTES, settle, small_enough
+from .text import BROADCAST_BYTES, row_key, settle, small_enough, without
+from .wavelet import _file_system
 
 ORDER, DISCOUNT, STRENGTH, SHARE = 6, 0.75, 50.0, 0.01
 # Differences per character far beyond this are compressed before the logistic curve: very short texts reach large ones.
@@ -33,7 +35,7 @@ UNIT = 0.001
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.7
 _START, _STOP, _SEED = "\x02", "\x03", 42
-_KNOWN, _FLUSH = 1 << 18, 300_000
+_KNOWN, _FLUSH = 1 << 17, 200_000
 # A hash and a value held by tasks.
 _ROW_BYTES = 16
 
@@ -63,7 +65,7 @@ def _count(batches: Iterator[pa.RecordBatch], flush: int = _FLUSH) -> Iterator[p
             for word, n in found.items():
                 for g in _grams(word):
                     own[g] += n
-                if len(own) > flush:
+                if sum(map(len, counts.values())) > flush:
                     yield batch()
                     for sent in counts.values():
                         sent.clear()
@@ -121,8 +123,27 @@ def _ratios(grams: DataFrame) -> DataFrame:
     return settle(seen.unionByName(unseen), "toxicity-ratios")
 
 
-def _held(rows: DataFrame, limit: int) -> tuple[tuple[np.ndarray, np.ndarray], bool]:
-    """Hashes, sorted, and values of the most frequent of ``hash, n, value`` that fit ``limit`` bytes; whether these are all."""
+class _Table:
+    """Hashes and values that tasks hold, read by each of them from the files of a written table."""
+
+    def __init__(self, rows: DataFrame) -> None:
+        self._files = sorted(settle(rows.sortWithinPartitions("hash"), "toxicity-held").inputFiles())
+
+    def load(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted by hash."""
+        hashes, values = [np.empty(0, np.int64)], [np.empty(0)]
+        for file in self._files:
+            system, name = _file_system(file)
+            part = pq.read_table(name, filesystem=system, columns=["hash", "value"])
+            hashes.append(part.column("hash").to_numpy())
+            values.append(part.column("value").to_numpy())
+        hashes, values = np.concatenate(hashes), np.concatenate(values)
+        order = np.argsort(hashes, kind="stable")
+        return hashes[order], values[order]
+
+
+def _held(rows: DataFrame, limit: int) -> tuple[_Table, bool]:
+    """The most frequent of ``hash, n, value`` that fit ``limit`` bytes; whether these are all."""
     level = F.length(F.bin("n"))
     sizes = dict(tuple(r) for r in rows.groupBy(level).count().collect())
     least, total = 65, 0
@@ -131,10 +152,7 @@ def _held(rows: DataFrame, limit: int) -> tuple[tuple[np.ndarray, np.ndarray], b
         if total > limit:
             break
         least = at
-    found = rows.where(level >= least).select("hash", "value").toArrow()
-    hashes, values = (found.column(c).to_numpy() for c in ("hash", "value"))
-    order = np.argsort(hashes)
-    return (hashes[order], values[order]), least <= min(sizes, default=0) or not sizes
+    return _Table(rows.where(level >= least).select("hash", "value")), least <= min(sizes, default=0) or not sizes
 
 
 def _hashes(keys: list[str]) -> np.ndarray:
@@ -179,16 +197,16 @@ def _values(words: DataFrame, ratios: DataFrame, share: float, limit: int) -> Da
     Grams that tasks do not hold are joined with the ratios, by the gram or else by its context.
     """
     held, whole = _held(ratios.select(F.xxhash64("key").alias("hash"), "n", "value"), limit)
-    held = words.sparkSession.sparkContext.broadcast(held)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = held.load()
         for b in batches:
             for part in (b.slice(i, 4096) for i in range(0, b.num_rows, 4096)):
                 spelt = [_grams(w) for w in part.column(2).to_pylist()]
                 flat, starts = [g for s in spelt for g in s], np.cumsum([0, *map(len, spelt)])
-                ratio = _look_up(held.value, flat)
+                ratio = _look_up(table, flat)
                 open_ = np.flatnonzero(np.isnan(ratio))
-                ratio[open_] = np.nan_to_num(_look_up(held.value, [flat[i][:-1] for i in open_])) if whole else 0.0
+                ratio[open_] = np.nan_to_num(_look_up(table, [flat[i][:-1] for i in open_])) if whole else 0.0
                 left = [] if whole else [flat[i] for i in open_]
                 ends = np.searchsorted(open_, starts) if left else np.zeros(len(starts), int)
                 rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(left, pa.string()))
@@ -241,13 +259,12 @@ def _read(docs: DataFrame, values: DataFrame, limit: int) -> DataFrame:
     Words that tasks do not hold are joined. A document is then known by its id and the hash of its text.
     """
     held, whole = _held(values, limit)
-    held = docs.sparkSession.sparkContext.broadcast(held)
     rows = docs if whole else docs.select("id", "text", F.xxhash64("text").alias("of"))
     kept = StructType([f for f in rows.schema.fields if f.name != "text"])
     out = "gain double, size bigint, others bigint, rest array<struct<hash: bigint, n: bigint>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Reader(held.value)
+        reader = _Reader(held.load())
         for b in batches:
             gains, sizes, rest = reader.of(b.column(b.schema.names.index("text")).to_pylist())
             flat = [p for r in rest for p in r]
@@ -318,7 +335,7 @@ def score_toxicity(
     threshold: float = THRESHOLD, calibration_rows: int = CALIBRATION_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES, carry: bool = False,
 ) -> DataFrame:
-    """One row per document: ``id_col, held_out, score, predicted``; with ``carry`` also ``row``, all its columns.
+    """One row per document: ``id_col, held_out, score, predicted``; with ``carry`` also ``key``, its ``row_key``.
 
     Learns from labelled documents that are not held out (crc32 of the id modulo 3 is 1). A tenth of them, at most about
     ``calibration_rows``, is scored by a model of the others to fit the logistic curve; the final model counts all. If an id
@@ -328,7 +345,7 @@ def score_toxicity(
     """
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-        *([F.struct("*").alias("row")] if carry else []),
+        *([row_key(id_col, text_col).alias("key")] if carry else []),
     )
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna()
     known = settle(known.where(~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y")), "toxicity-labels")
@@ -351,10 +368,17 @@ def score_toxicity(
     score = 1.0 / (1.0 + F.exp(-(slope * F.asinh(F.col("x") / UNIT) + offset)))
     return read.select(
         F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), score.alias("score"),
-        (score >= threshold).cast("int").alias("predicted"), *(["row"] if carry else []),
+        (score >= threshold).cast("int").alias("predicted"), *(["key"] if carry else []),
     )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that are not predicted to be toxic, with all their columns."""
-    return score_toxicity(docs, labels, carry=True, **options).where("predicted = 0").select("row.*")
+def drop_toxic(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """The documents that are not predicted to be toxic, with all their columns; each row is judged by its own text.
+
+    Null and empty texts are judged like any other; repeated rows stay or go together; without labels of both classes
+    one constant score decides for all; an empty table stays empty. Only the keys of dropped rows are joined.
+    """
+    found = score_toxicity(docs, labels, id_col, text_col, carry=True, **options)
+    return without(docs, id_col, text_col, found.where("predicted = 1").select("key"))
