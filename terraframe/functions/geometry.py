@@ -274,25 +274,98 @@ def lies_within(shape: Column, polygon: Column, area: Column | bool = True, tol:
     return whole if area is True else F.when(area, whole).otherwise(line)
 
 
+def edge_in_box(e: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
+    """Whether an edge meets a closed rectangle: its box does, and the corners are not all on one side of it."""
+    sides = [_side(e, x, y) for x in (minx, maxx) for y in (miny, maxy)]
+    return (
+        (F.least(e["x1"], e["x2"]) <= maxx)
+        & (F.greatest(e["x1"], e["x2"]) >= minx)
+        & (F.least(e["y1"], e["y2"]) <= maxy)
+        & (F.greatest(e["y1"], e["y2"]) >= miny)
+        & (F.least(*sides) <= 0)
+        & (F.greatest(*sides) >= 0)
+    )
+
+
 def any_edge_in_box(outline: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
     """Whether an edge meets a closed rectangle."""
-    corners = [(x, y) for x in (minx, maxx) for y in (miny, maxy)]
+    return F.exists(outline, lambda e: edge_in_box(e, minx, miny, maxx, maxy))
 
-    def meets(e: Column) -> Column:
-        # Its box meets the rectangle and the corners are not all on one side of it.
-        sides = [
-            (e["x2"] - e["x1"]) * (cy - e["y1"]) - (cx - e["x1"]) * (e["y2"] - e["y1"]) for cx, cy in corners
-        ]
-        return (
-            (F.least(e["x1"], e["x2"]) <= maxx)
-            & (F.greatest(e["x1"], e["x2"]) >= minx)
-            & (F.least(e["y1"], e["y2"]) <= maxy)
-            & (F.greatest(e["y1"], e["y2"]) >= miny)
-            & (F.least(*sides) <= 0)
-            & (F.greatest(*sides) >= 0)
+
+def edges_meet(e: Column, f: Column, tol: float = BORDER) -> Column:
+    """Whether two edges share a point."""
+    apart = (
+        (F.greatest(e["x1"], e["x2"]) < F.least(f["x1"], f["x2"]) - tol)
+        | (F.least(e["x1"], e["x2"]) > F.greatest(f["x1"], f["x2"]) + tol)
+        | (F.greatest(e["y1"], e["y2"]) < F.least(f["y1"], f["y2"]) - tol)
+        | (F.least(e["y1"], e["y2"]) > F.greatest(f["y1"], f["y2"]) + tol)
+    )
+    ends = (
+        _touches(f, e["x1"], e["y1"], tol) | _touches(f, e["x2"], e["y2"], tol)
+        | _touches(e, f["x1"], f["y1"], tol) | _touches(e, f["x2"], f["y2"], tol)
+    )
+    across = ((_side(f, e["x1"], e["y1"]) > 0) != (_side(f, e["x2"], e["y2"]) > 0)) & (
+        (_side(e, f["x1"], f["y1"]) > 0) != (_side(e, f["x2"], f["y2"]) > 0)
+    )
+    return ~apart & (across | ends)
+
+
+def changes_side(e: Column, x0: Column, y0: Column, x: Column, y: Column) -> Column:
+    """Whether an edge lies an odd number of times on the way from one point to another, first up or down, then across."""
+
+    def above(px: Column, py: Column) -> Column:
+        side = _side(e, px, py)
+        return ((e["x1"] > px) != (e["x2"] > px)) & F.when(e["x2"] > e["x1"], side < 0).otherwise(side > 0)
+
+    def right(px: Column, py: Column) -> Column:
+        side = _side(e, px, py)
+        return ((e["y1"] > py) != (e["y2"] > py)) & F.when(e["y2"] > e["y1"], side > 0).otherwise(side < 0)
+
+    return (above(x0, y0) != above(x0, y)) != (right(x0, y) != right(x, y))
+
+
+def parity_at(outline: Column, odd: Column, x0: Column, y0: Column, x: Column, y: Column) -> Column:
+    """Whether a point is inside, from what is known of another point and the edges on the way to it."""
+    return (F.size(F.filter(outline, lambda e: changes_side(e, x0, y0, x, y))) % 2 == 1) != odd
+
+
+def cuts_of(e: Column, cutter: Column, tol: float) -> Column:
+    """Where along an edge, from 0 to 1, the edges of another outline cut or touch it."""
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+
+    def at(f: Column) -> Column:
+        fx, fy = f["x2"] - f["x1"], f["y2"] - f["y1"]
+        gx, gy = f["x1"] - e["x1"], f["y1"] - e["y1"]
+        det = dx * fy - dy * fx
+        beside = F.try_divide(gx * dy - gy * dx, det).between(-1e-9, 1 + 1e-9)
+
+        def along(x: Column, y: Column) -> Column:
+            hx, hy = x - e["x1"], y - e["y1"]
+            return F.when(_touches(e, x, y, tol), F.try_divide(hx * dx + hy * dy, dx * dx + dy * dy))
+
+        return F.array(
+            F.when(beside, F.try_divide(gx * fy - gy * fx, det)), along(f["x1"], f["y1"]), along(f["x2"], f["y2"])
         )
 
-    return F.exists(outline, meets)
+    return F.flatten(F.transform(cutter, at))
+
+
+def touches(e: Column, px: Column, py: Column, tol: float = BORDER) -> Column:
+    """Whether a point lies within ``tol`` of an edge."""
+    return _touches(e, px, py, tol)
+
+
+def leaves_border(outline: Column, box: Box) -> Column:
+    """Whether edges within a closed rectangle are not all on its border."""
+
+    def along(e: Column) -> Column:
+        sides = [("x1", "x2", box.minx), ("x1", "x2", box.maxx), ("y1", "y2", box.miny), ("y1", "y2", box.maxy)]
+        on = F.lit(False)
+        for a, b, value in sides:
+            on = on | ((e[a] == value) & (e[b] == value))
+        return on
+
+    return F.exists(outline, lambda e: ~along(e))
 
 
 def touches_box(outline: Column, box: Box, area: Column | bool = True) -> Column:

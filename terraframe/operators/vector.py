@@ -48,7 +48,14 @@ def in_range(features: DataFrame, box: Box, predicate: str = "intersects") -> Co
         minx, miny, maxx, maxy = c("x"), c("y"), c("x"), c("y")
     if predicate == "contains":
         meets = (maxx > box.minx) & (minx < box.maxx) & (maxy > box.miny) & (miny < box.maxy)
-        return meets & (minx >= box.minx) & (maxx <= box.maxx) & (miny >= box.miny) & (maxy <= box.maxy)
+        within = meets & (minx >= box.minx) & (maxx <= box.maxx) & (miny >= box.miny) & (maxy <= box.maxy)
+        # A line can run along several sides of the border; an area within the box has an inside.
+        if "rings" in names and "geom_type" in names:
+            is_area = F.lower("geom_type").like("%polygon")
+            return within & (c("rings").isNull() | is_area | G.leaves_border(G.edges(c("rings")), box))
+        if "path" in names:
+            return within & G.leaves_border(G.path_edges(c("path")), box)
+        return within
     near = (minx <= box.maxx) & (maxx >= box.minx) & (miny <= box.maxy) & (maxy >= box.miny)
     if "rings" in names:
         area = F.lower("geom_type").like("%polygon") if "geom_type" in names else True
@@ -153,10 +160,11 @@ def _kind(features: DataFrame) -> Column:
     return F.lit(next((kind for column, kind in names.items() if column in features.columns), "box"))
 
 
-def summarize(features: DataFrame) -> DataFrame:
+def summarize(features: DataFrame, **more: Column) -> DataFrame:
     """Counts, extent and average size of a feature set, in one pass.
 
-    ``num_points`` counts vertices; the three ``*_features`` counts are by geometry type.
+    ``num_points`` counts vertices; the three ``*_features`` counts are by geometry type. Further aggregates can be
+    taken along by name.
     """
     boxed = features if "minx" in features.columns else with_envelope(features)
     present = F.col("minx").isNotNull()
@@ -173,24 +181,26 @@ def summarize(features: DataFrame) -> DataFrame:
         F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy"),
         F.avg(F.col("maxx") - F.col("minx")).alias("avg_width"),
         F.avg(F.col("maxy") - F.col("miny")).alias("avg_height"),
+        *[aggregate.alias(name) for name, aggregate in more.items()],
     )
 
 
-def summary_json(features: DataFrame) -> DataFrame:
-    """The summary with the schema of the features, as one JSON text."""
+def summary_json(features: DataFrame, **more: Column) -> DataFrame:
+    """The summary with the schema of the features, as one JSON text, beside it the extent and further aggregates."""
     schema = [
         {"name": f.name, "type": f.dataType.simpleString()} for f in features.schema.fields
         if f.name not in GEOMETRY
     ]
-    summary = summarize(features)
+    summary = summarize(features, **more)
     return summary.select(
         F.to_json(
             F.struct(
-                F.struct(*summary.columns).alias("summary"),
+                F.struct(*[c for c in summary.columns if c not in more]).alias("summary"),
                 F.from_json(F.lit(json.dumps(schema)), "array<struct<name:string,type:string>>").alias("schema"),
             ),
             {"pretty": "true", "ignoreNullFields": "false"},
-        ).alias("json")
+        ).alias("json"),
+        *BOX, *more,
     )
 
 

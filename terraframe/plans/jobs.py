@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import et
 from ..functions.geometry import Box
 from ..functions.ieee import narrow
+from ..functions.sizes import row_bytes
 from ..grid import Grid
 from ..operators import partition, raster, spatial_join, vector, visual
 from ..sources import features as io
@@ -161,29 +161,24 @@ def run_point_in_polygon(
 
 def index_and_visualize(
     spark: SparkSession, features: DataFrame, index_output: str, plot_output: str, *,
-    partitions: int = 16, max_level: int = 19, overwrite: bool = False, threshold: int = 0, cache: bool = True,
+    partitions: int | None = None, max_level: int = 19, overwrite: bool = False, threshold: int = 0,
 ) -> str:
     """Summarize, index and build the tile pyramid of a feature set; returns the summary JSON.
 
-    The reduced geometry is what several passes read, so that is what is kept (on disk
-    where memory ends). The pyramid reads the index instead of the input.
+    Without ``partitions`` their number follows from the size of the features. One aggregate gives the summary, the
+    extent and the size; nothing is cached, and the pyramid reads the index instead of the input.
     """
     mode = "overwrite" if overwrite else "errorifexists"
-    summary = vector.summary_json(features).first()["json"]
     reduced = vector.reduce_to_2d(features)
-    if cache:
-        reduced = reduced.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        bounds = visual.data_bounds(reduced) or Box(0.0, 0.0, 1.0, 1.0)
-        partitioner = partition.SpatialPartitioner.fit(reduced, partitions)
-        partition.write_index(reduced, partitioner, index_output, mode=mode, extent=bounds)
-    finally:
-        if cache:
-            reduced.unpersist()
+    found = vector.summary_json(features, bytes=F.coalesce(F.sum(row_bytes(reduced)), F.lit(0))).first()
+    corners = [found[c] for c in vector.BOX]
+    bounds = Box(0.0, 0.0, 1.0, 1.0) if None in corners else Box(*corners)
+    partitioner = partition.SpatialPartitioner.fit(reduced, partitions, size=int(found["bytes"]))
+    partition.write_index(reduced, partitioner, index_output, mode=mode, extent=bounds)
     stored = partition.read_index(spark, index_output)
     tiles = visual.pyramid(stored, 0, max_level, bounds=bounds, threshold=threshold)
     tiles.write.mode(mode).parquet(plot_output)
-    return summary
+    return found["json"]
 
 
 def run_penman_monteith(

@@ -179,6 +179,11 @@ ORACLE: dict[str, str] = {
         round(cy, 6) + 0::DOUBLE AS y FROM parcels""",
     "range_contains_boxes": f"""{FEATURES} SELECT name FROM granules
         WHERE minx >= -128 AND maxx <= -64 AND miny >= 27 AND maxy <= 54""",
+    # Lines of the first two kinds run on the border; one of the third kind does not if its ends are on two sides, off the corner.
+    "range_contains_lines": f"""{FEATURES}, ends AS (SELECT *, least(54, greatest(27, y1)) AS sy, least(-64, greatest(-128, x2)) AS bx FROM roads)
+        SELECT o_orderkey FROM ends WHERE (o_orderkey % 4 = 2 AND sy > 27 AND bx > -128)
+        OR (o_orderkey % 4 = 3 AND least(x1, x2) >= -128 AND greatest(x1, x2) <= -64 AND least(y1, y2) >= 27 AND greatest(y1, y2) <= 54
+            AND NOT (x1 = x2 AND (x1 = -128 OR x1 = -64)) AND NOT (y1 = y2 AND (y1 = 27 OR y1 = 54)))""",
     # Diamonds of one proportion meet (or lie in each other) where their sizes add up to (or make up for) the distance.
     "join_parcels_regions": f"""{FEATURES} SELECT region_id, c_custkey FROM regions r JOIN parcels p
         ON abs(p.cx - r.cx) / (30 + w) + abs(p.cy - r.cy) / (15 + h) <= 1 + 1e-9""",
@@ -198,6 +203,7 @@ ORACLE: dict[str, str] = {
         round(x, 6) + 0::DOUBLE AS maxx, round(y, 6) + 0::DOUBLE AS maxy FROM points
         UNION ALL SELECT 'box', {_round('minx', 'miny', 'maxx', 'maxy')} FROM granules""",
     "spatial_partition_check": f"""{FEATURES} SELECT count(*) AS n_features, 16::BIGINT AS n_parts, true AS balanced,
+        0::BIGINT AS n_overlaps, count(DISTINCT event_id) AS n_seen_once,
         round(min(x), 6) + 0::DOUBLE AS minx, round(max(x), 6) + 0::DOUBLE AS maxx, round(min(y), 6) + 0::DOUBLE AS miny, round(max(y), 6) + 0::DOUBLE AS maxy FROM points""",
     "indexed_range": f"{FEATURES} SELECT event_id, {_round('x', 'y')} FROM points WHERE {RANGE}",
     "pyramid_counts": f"""{FEATURES}, box AS (SELECT min(x) AS x0, min(y) AS y0,

@@ -472,6 +472,13 @@ def range_contains_boxes(spark, folder):
     return vector.range_query(testbed.granules(spark, folder), Box(-128.0, 27.0, -64.0, 54.0), "contains").select("name")
 
 
+@query
+def range_contains_lines(spark, folder):
+    """Lines in a rectangle, many of them on its border or around its corner, where they are not inside."""
+    box = Box(-128.0, 27.0, -64.0, 54.0)
+    return vector.range_query(testbed.border_lines(spark, folder, box), box, "contains").select("o_orderkey")
+
+
 @query
 def drop_to_2d(spark, folder):
     """Points with three ordinates and boxes with three dimensions, reduced to two."""
@@ -590,13 +597,20 @@ def spatial_partition(spark, folder):
 
 @query
 def spatial_partition_check(spark, folder):
-    """Completeness, balance and disjointness of the partitions."""
-    parts = spatial_partition(spark, folder)
+    """Completeness, balance by bytes and disjointness of the partitions."""
+    found = testbed.points(spark, folder)
+    assigned = partition.SpatialPartitioner.fit(found, 16).assign(found)
+    path = shared_folder(spark, "parts")
+    partition.partition_summary(assigned).write.parquet(path)
+    parts = spark.read.parquet(path)
+    once = assigned.groupBy("event_id").agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") == 1)).scalar()
     return parts.agg(
         F.sum("n_features").alias("n_features"), F.count("*").alias("n_parts"),
-        (F.max("n_features") <= F.avg("n_features") * 1.2).alias("balanced"),
+        (F.max("n_bytes") <= F.avg("n_bytes") * 1.2).alias("balanced"),
         F.round(F.min("minx"), 6).alias("minx"), F.round(F.max("maxx"), 6).alias("maxx"),
         F.round(F.min("miny"), 6).alias("miny"), F.round(F.max("maxy"), 6).alias("maxy"),
+    ).select(
+        "*", partition.overlapping_parts(parts).agg(F.count("*")).scalar().alias("n_overlaps"), once.alias("n_seen_once")
     )
 
 

@@ -148,6 +148,20 @@ def road_lines(spark: SparkSession, folder: str) -> DataFrame:
     return ends.selectExpr(f"concat_ws(',', o_orderkey, {quoted}, x1, y1, o_custkey, x2, y2) AS value")
 
 
+def border_lines(spark: SparkSession, folder: str, box: Box) -> DataFrame:
+    """Lines of the orders table, many of them moved onto sides of a box or around its corner."""
+    ends = table(spark, folder, "orders").selectExpr("o_orderkey", *_point("o_orderkey", "x1", "y1"), *_point("o_custkey", "x2", "y2"))
+    low = f"least({box.maxy}D, greatest({box.miny}D, y%d))"
+    side = f"struct(cast({box.minx} as double) AS x, {low} AS y)"
+    corner = f"struct(cast({box.minx} as double) AS x, cast({box.miny} as double) AS y)"
+    base = f"struct(least({box.maxx}D, greatest({box.minx}D, x2)) AS x, cast({box.miny} as double) AS y)"
+    return ends.selectExpr(
+        "o_orderkey",
+        f"CASE o_orderkey % 4 WHEN 0 THEN array({side % 1}, {side % 2}) WHEN 1 THEN array({side % 1}, {corner}, {base}) "
+        f"WHEN 2 THEN array({side % 1}, {base}) ELSE array(struct(x1 AS x, y1 AS y), struct(x2 AS x, y2 AS y)) END AS path",
+    )
+
+
 def granules(spark: SparkSession, folder: str) -> DataFrame:
     """A manifest of one-degree granules from the orders table."""
     return table(spark, folder, "orders").selectExpr(

@@ -65,8 +65,12 @@ def test_index_round_trip_prunes_and_splits_crowded_parts(spark, plan):
     partition.write_index(points, partition.SpatialPartitioner.fit(points, 16), path, files=12)
     box = Box(-20, 2, 10, 9)
     found = partition.read_index(spark, path, box)
-    assert "dynamicpruning" in plan(found)
+    met = {r.file for r in partition.read_tree(spark, path, box).collect()}
+    assert set(found.inputFiles()) == met and 0 < len(met) < partition.read_tree(spark, path).count()
     expected = vector.range_query(points, box)
+    by_parts = partition.read_index(spark, path, box, named_files=0)
+    assert "dynamicpruning" in plan(by_parts) and by_parts.count() == expected.count()
+    assert partition.read_index(spark, path, Box(900, 900, 901, 901)).count() == 0
     assert found.select("id", "x", "y").exceptAll(expected).isEmpty() and found.count() == expected.count()
     assert partition.read_index(spark, path).count() == 4500
     # The crowded place is written by several tasks.
@@ -109,3 +113,48 @@ def test_many_cuts_are_one_constant(spark, plan):
 def test_partition_count_is_checked(spark):
     with pytest.raises(ValueError, match="partitions"):
         partition.SpatialPartitioner.fit(cloud(spark, 10), 0)
+
+
+def test_parts_are_balanced_by_bytes(spark):
+    """One feature of a hundred has nine tenths of the vertices, all of them in one corner."""
+    path = "array<struct<x:double,y:double>>"
+    big = F.pmod("id", F.lit(100)) == 0
+    x = F.when(big, F.rand(1) * 5).otherwise(F.rand(2) * 100)
+    y = F.when(big, F.rand(3) * 5).otherwise(F.rand(4) * 100)
+    spots = spark.range(0, 20_000, numPartitions=4).select("id", x.alias("x0"), y.alias("y0"), F.when(big, 900).otherwise(1).alias("n"))
+    lines = spots.select("id", F.expr(f"transform(sequence(1, n), i -> named_struct('x', x0, 'y', y0)) AS path")).withColumn("path", F.col("path").cast(path))
+    stored = shared_folder(spark, "lines")
+    lines.write.parquet(stored)
+    lines = spark.read.parquet(stored)
+    partitioner = partition.SpatialPartitioner.fit(lines, 9)
+    assert partitioner.bytes == partition.total_bytes(lines) and partitioner.y_cuts == ()
+    parts = partition.partition_summary(partitioner.assign(lines)).collect()
+    assert sum(p.n_features for p in parts) == 20_000 and len(parts) == 9
+    assert max(p.n_bytes for p in parts) <= 1.3 * sum(p.n_bytes for p in parts) / 9
+    # By counts alone the parts would differ ninefold and more.
+    assert max(p.n_features for p in parts) > 3 * min(p.n_features for p in parts)
+    # Without a wish, the number of parts follows from the size.
+    by_size = partition.SpatialPartitioner.fit(lines, part_bytes=partitioner.bytes // 4)
+    assert 4 <= by_size.strips * by_size.rows <= 9
+
+
+def test_overlapping_parts_are_found(spark):
+    rows = [(0, 0.0, 0.0, 2.0, 2.0), (1, 2.0, 2.0, 3.0, 3.0), (2, 2.5, 2.5, 2.6, 2.6), (3, 9.0, 9.0, 9.0, 9.0)]
+    parts = spark.createDataFrame(rows, "part_id int, minx double, miny double, maxx double, maxy double")
+    assert sorted(tuple(r) for r in partition.overlapping_parts(parts).collect()) == [(0, 1), (1, 2)]
+
+
+def test_the_tree_packs_files_partitions_and_strips(spark):
+    points = cloud(spark, 2000)
+    path = shared_folder(spark, "index")
+    partition.write_index(points, partition.SpatialPartitioner.fit(points, 9), path, files=6)
+    levels = {n: spark.read.parquet(f"{path}/tree/level={n}") for n in (0, 1, 2)}
+    assert all(f.agg(F.sum("n_features")).first()[0] == 2000 for f in levels.values())
+    assert levels[1].count() == 9 and levels[2].count() == 3
+    for low, high in ((0, 1), (1, 2)):
+        outside = levels[low].alias("c").join(levels[high].alias("p"), F.expr("c.parent = p.node")).where(
+            "c.minx < p.minx or c.miny < p.miny or c.maxx > p.maxx or c.maxy > p.maxy")
+        assert outside.count() == 0
+    empty = shared_folder(spark, "index")
+    partition.write_index(points.where("false"), partition.SpatialPartitioner.fit(points.where("false"), 4), empty)
+    assert partition.read_tree(spark, empty).count() == 0

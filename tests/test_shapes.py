@@ -121,3 +121,17 @@ def test_range_query_by_polygon(spark, lines):
     mixed = vector.with_envelope(mixed)
     for predicate, expected in (("intersects", ["area", "line", "point"]), ("contains", ["area", "point"])):
         assert sorted(r.name for r in vector.within_polygon(mixed, outline, predicate).collect()) == expected
+
+
+def test_lines_on_the_border_of_a_rectangle(spark):
+    box = G.Box(0.0, 0.0, 1.0, 1.0)
+    ways = {"two sides": [(0, 0), (1, 0), (1, 1)], "one side": [(0, 0.2), (0, 0.8)], "around": [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)],
+            "across": [(0, 0), (1, 1)], "side, then in": [(0, 0), (1, 0), (0.5, 0.5)], "leaves": [(0.5, 0.5), (2, 2)]}
+    rows = [(n, [{"x": float(x), "y": float(y)} for x, y in w]) for n, w in ways.items()]
+    lines = spark.createDataFrame(rows, f"name string, path {PATH}")
+    want = {"across", "side, then in"}
+    assert {r.name for r in vector.range_query(lines, box, "contains").collect()} == want
+    mixed = lines.select("name", F.lit("LineString").alias("geom_type"), F.array("path").alias("rings"), F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"))
+    assert {r.name for r in vector.range_query(vector.with_envelope(mixed), box, "contains").collect()} == want
+    outline = [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]]
+    assert {r.name for r in vector.within_polygon(lines, outline, "contains").collect()} == want
