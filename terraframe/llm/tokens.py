@@ -1,22 +1,30 @@
-"""Token ids of whole texts, with the pieces that texts share encoded once per task."""
+"""Token ids of whole texts, with the pieces that texts share encoded once per worker."""
 
 from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-KNOWN_PIECES = 1 << 20
+# Pieces that a worker remembers.
+KNOWN_PIECES = 3 << 18
 # Texts are cut together up to this many characters, and their new pieces encoded together.
 CHUNK = 1 << 20
 # Letters for sure, and a run of them that ends for sure: before ASCII punctuation, a blank, a line end or the end.
 _LETTERS = r"[A-Za-zÀ-ÖØ-öø-ƺ]++(?=[!-/:-@\[-`{-~ \n]|\Z)"
 _KEPT = re.compile(rf" ?{_LETTERS}| ?[^ \n]+|[ \n]")
 _DROPPED = re.compile(rf"{_LETTERS}|[^ \n]+")
-_TWICE = re.compile(r"\s\s")
+_PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ƺ]+").fullmatch
+_WHITE = re.compile(r"\s").search
+# How byte-level vocabularies write the 256 bytes: printable ones as they are, the others from U+0100 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*_SHOWN}))}
 
 
 class Encoder:
@@ -24,8 +32,8 @@ class Encoder:
 
     Neither kind of tokenizer lets a token cross the start of white space or the end of a run of letters, so a text is the
     sequence of its pieces between single blanks and line ends, cut once more where such a run ends. If white space
-    counts (``kept``), texts with two white-space characters in a row are encoded whole, and so are texts that may hold a
-    special token.
+    counts (``kept``), texts with other white space, or two such characters in a row, are encoded whole, and so are texts
+    that may hold a special token. A run of letters is one word to a byte-level tokenizer, so its model is asked directly.
     """
 
     def __init__(self, path: str, kept: bool) -> None:
@@ -34,12 +42,25 @@ class Encoder:
         # What parts pieces that are encoded together: a line end, or a bar between blanks.
         self._mark, self._between = ("\n", "\n") if kept else ("|", " | ")
         self._mark_ids = self._ids(self._mark)
+        t = self._tokenizer
+        self._direct = kept and t.normalizer is None and isinstance(t.pre_tokenizer, ByteLevel) and not t.pre_tokenizer.add_prefix_space
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, new: list[str]) -> None:
         """Encode pieces in one go and part the ids at the marks; one by one if the marks do not come out."""
+        if self._kept:  # pieces after which a text is not the sum of its pieces
+            self._known.update((p, None) for p in new if p == " " or _WHITE(p, 1) or (p[0] != " " and p != "\n" and p[0].isspace()))
+            new = [p for p in new if p not in self._known]
+        if self._direct:
+            plain = [p for p in new if _PLAIN(p)]
+            ask = self._tokenizer.model.tokenize
+            words = "\0".join(plain).encode().decode("latin-1").translate(_BYTES).split(_BYTES[0])
+            self._known.update(
+                (p, b"".join([t.id.to_bytes(4, "little") for t in ask(w)])) for p, w in zip(plain, words if plain else (), strict=True)
+            )
+            new = [p for p in new if p not in self._known]
         joined = [p for p in new if self._mark not in p and not p[-1].isspace()] if len(self._mark_ids) == 1 else []
         if joined:
             ids = self._ids(self._between.join(joined))
@@ -55,12 +76,15 @@ class Encoder:
         if len(self._known) > KNOWN_PIECES:
             self._known.clear()
         find = (_KEPT if self._kept else _DROPPED).findall
-        cut = [None if "<|" in t or (self._kept and _TWICE.search(t)) else find(t) for t in texts]
-        if new := set().union(*[pieces for pieces in cut if pieces]).difference(self._known):
+        cut = [None if "<|" in t or (self._kept and "\n\n" in t) else find(t) for t in texts]
+        if new := set().union(*[p for p in cut if p]).difference(self._known):
             self._learn(list(new))
         known = self._known.__getitem__
-        for text, pieces in zip(texts, cut, strict=True):
-            yield self._ids(text).tobytes() if pieces is None else b"".join(map(known, pieces))
+        for text, own in zip(texts, cut, strict=True):
+            try:
+                yield self._ids(text).tobytes() if own is None else b"".join(map(known, own))
+            except TypeError:  # a piece that does not stand for itself
+                yield self._ids(text).tobytes()
 
     def each(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of one text after the other; a null text has none."""
@@ -75,3 +99,14 @@ class Encoder:
 
     def of(self, text: str | None) -> bytes:
         return next(self.each([text]))
+
+
+def shared_encoder(path: str, kept: bool) -> Encoder:
+    """The encoder that the tasks of a worker use one after another.
+
+    Code travels to workers with each task, so what outlives a task is kept in a module made for it.
+    """
+    held = sys.modules.setdefault("terraframe_worker_state", types.ModuleType("terraframe_worker_state")).__dict__
+    if held.get("key") != (path, kept):
+        held["key"], held["encoder"] = (path, kept), Encoder(path, kept)
+    return held["encoder"]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_folder
 from .text import settle, whole
-from .tokens import Encoder
+from .tokens import shared_encoder
 
 END_ID = 2
 # Text per shard; a task holds one shard.
@@ -170,7 +170,7 @@ def write_shards(
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 8), F.lit(0))).first()[0]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer, kept=True), np.array([end_id], "<u4")
+        encoder, end = shared_encoder(tokenizer, True), np.array([end_id], "<u4")
         parts, ids, lengths = [], [], []
         for b in batches:
             ids += b.column(0).to_pylist()
