@@ -34,9 +34,9 @@ def escape_role(role: Column) -> Column:
 
 
 def unescape_role(role: Column) -> Column:
-    mark = F.lit("\x00")  # stands for a doubled backslash while line ends are restored
-    role = F.replace(unescape(role), F.lit("\\\\"), mark)
-    return F.replace(F.replace(role, F.lit("\\n"), F.lit("\n")), mark, F.lit("\\"))
+    """Between doubled backslashes, which are one, ``\\n`` is a line end."""
+    parts = F.split(unescape(role), r"\\\\")
+    return F.array_join(F.transform(parts, lambda s: F.replace(s, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def format_conversations(

@@ -416,3 +416,10 @@ def test_pipeline(spark):
         docs = after
     assert 0 < held[-1] <= held[1] < held[0] < 1000
     assert docs.agg(F.count_distinct("doc_id")).first()[0] == held[-1]
+
+
+def test_roles_come_back_unchanged(spark):
+    roles = ["a\x00b", "\\", "\\\n", "\\\\n", "a\\nb\nc", "\n\\n\\\\\n", "<|im_end|>\\<|", "", "<\\|\n"]
+    rows = spark.createDataFrame([(r,) for r in roles], "role string")
+    got = rows.select("role", chat.escape_role(F.col("role")).alias("e")).select("role", "e", chat.unescape_role(F.col("e")).alias("back")).collect()
+    assert all(r.back == r.role and "\n" not in r.e and "<|" not in r.e for r in got)
