@@ -130,7 +130,7 @@ def _best(counted: DataFrame, scorer: Broadcast, top: int) -> DataFrame:
     kind = counted.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, best, id_kind = scorer.value, None, None
+        own, best, id_kind = _Scorer(*scorer.value), None, None
         for b in batches:
             best, id_kind = best or _Best(own.n_items, top), b.schema.field(0).type
             for at in range(0, b.num_rows, _SCORED):
@@ -199,7 +199,7 @@ def _block(spark, rows: DataFrame, pairs: pa.Table, top: int) -> DataFrame:
     n_docs_of[frequency.column("term").to_numpy()] = frequency.column("n").to_numpy()
     weights = [math.floor(1000 * math.log((2 * n_docs + 2) / (2 * n + 1))) for n in n_docs_of.tolist()]
     starts = np.cumsum([0, *map(len, postings)])
-    scorer = spark.sparkContext.broadcast(_Scorer(
+    scorer = spark.sparkContext.broadcast((
         np.array(weights, np.int64), starts, np.array([i for p in postings for i in p], np.int64), len(names),
         n_docs, max(1, length),
     ))

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .memory import give_back
 from .text import BROADCAST_BYTES, row_key, settle, small_enough, without
 from .wavelet import _file_system
 
@@ -35,7 +36,7 @@ UNIT = 0.001
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.7
 _START, _STOP, _SEED = "\x02", "\x03", 42
-_KNOWN, _FLUSH = 1 << 17, 200_000
+_KNOWN, _FLUSH, _TEXTS = 1 << 17, 200_000, 1024
 # A hash and a value held by tasks.
 _ROW_BYTES = 16
 
@@ -55,6 +56,7 @@ def _count(batches: Iterator[pa.RecordBatch], flush: int = _FLUSH) -> Iterator[p
             [pa.array(gram, pa.string()), pa.array(kind, pa.int32()), pa.array(n, pa.int64())], ["gram", "kind", "n"]
         )
 
+    give_back()
     counts: dict[int, Counter] = {}
     for b in batches:
         words: dict[int, Counter] = {}
@@ -124,22 +126,26 @@ def _ratios(grams: DataFrame) -> DataFrame:
 
 
 class _Table:
-    """Hashes and values that tasks hold, read by each of them from the files of a written table."""
+    """Hashes and values that tasks hold, read by each of them from a written table in order of hash."""
 
-    def __init__(self, rows: DataFrame) -> None:
-        self._files = sorted(settle(rows.sortWithinPartitions("hash"), "toxicity-held").inputFiles())
+    def __init__(self, files: list[str]) -> None:
+        self._files = files
 
     def load(self) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted by hash."""
-        hashes, values = [np.empty(0, np.int64)], [np.empty(0)]
+        """Sorted by hash. A piece of a file at a time is read into arrays of the final size."""
+        opened = []
         for file in self._files:
             system, name = _file_system(file)
-            part = pq.read_table(name, filesystem=system, columns=["hash", "value"])
-            hashes.append(part.column("hash").to_numpy())
-            values.append(part.column("value").to_numpy())
-        hashes, values = np.concatenate(hashes), np.concatenate(values)
-        order = np.argsort(hashes, kind="stable")
-        return hashes[order], values[order]
+            opened.append(pq.ParquetFile(system.open_input_file(name)))
+        size = sum(f.metadata.num_rows for f in opened)
+        hashes, values, at = np.empty(size, np.int64), np.empty(size), 0
+        for f in opened:
+            for part in f.iter_batches(1 << 16, columns=["hash", "value"]):
+                hashes[at : at + part.num_rows] = part.column(0).to_numpy()
+                values[at : at + part.num_rows] = part.column(1).to_numpy()
+                at += part.num_rows
+            f.close(force=True)
+        return hashes, values
 
 
 def _held(rows: DataFrame, limit: int) -> tuple[_Table, bool]:
@@ -152,7 +158,9 @@ def _held(rows: DataFrame, limit: int) -> tuple[_Table, bool]:
         if total > limit:
             break
         least = at
-    return _Table(rows.where(level >= least).select("hash", "value")), least <= min(sizes, default=0) or not sizes
+    # One file: the rows were counted to fit the limit for what tasks hold.
+    kept = rows.where(level >= least).select("hash", "value").repartition(1).sortWithinPartitions("hash")
+    return _Table(settle(kept, "toxicity-held").inputFiles()), least <= min(sizes, default=0) or not sizes
 
 
 def _hashes(keys: list[str]) -> np.ndarray:
@@ -173,6 +181,7 @@ def _words(docs: DataFrame) -> DataFrame:
     """``hash, n, word`` of every distinct word of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         counts: Counter = Counter()
 
         def batch() -> pa.RecordBatch:
@@ -199,6 +208,7 @@ def _values(words: DataFrame, ratios: DataFrame, share: float, limit: int) -> Da
     held, whole = _held(ratios.select(F.xxhash64("key").alias("hash"), "n", "value"), limit)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         table = held.load()
         for b in batches:
             for part in (b.slice(i, 4096) for i in range(0, b.num_rows, 4096)):
@@ -264,8 +274,9 @@ def _read(docs: DataFrame, values: DataFrame, limit: int) -> DataFrame:
     out = "gain double, size bigint, others bigint, rest array<struct<hash: bigint, n: bigint>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         reader = _Reader(held.load())
-        for b in batches:
+        for b in (b.slice(i, _TEXTS) for b in batches for i in range(0, b.num_rows, _TEXTS)):
             gains, sizes, rest = reader.of(b.column(b.schema.names.index("text")).to_pylist())
             flat = [p for r in rest for p in r]
             pairs = pa.StructArray.from_arrays(
