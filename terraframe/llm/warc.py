@@ -216,13 +216,15 @@ class _Stream:
 
     def __init__(self, file) -> None:
         self._file, self._held, self._gzip, self._packed = file, b"", zlib.decompressobj(31), b""
+        self._begun = False  # whether the member at hand has bytes
 
     def _more(self) -> bool:
         while True:
             if self._gzip.eof:
                 self._packed = self._gzip.unused_data or self._packed
-                self._gzip = zlib.decompressobj(31)
+                self._gzip, self._begun = zlib.decompressobj(31), False
             packed = self._packed or self._file.read(_READ)
+            self._begun = self._begun or bool(packed)
             self._packed = b""
             found = self._gzip.decompress(packed, _READ)
             self._packed = self._gzip.unconsumed_tail
@@ -230,6 +232,8 @@ class _Stream:
                 self._held += found
                 return True
             if not packed:
+                if self._begun and not self._gzip.eof:
+                    raise ValueError("an archive ends within a record")
                 return False
 
     def line_block(self, end: bytes) -> bytes | None:
