@@ -224,7 +224,7 @@ def search_tables():
     return docs, [*items, items[0], (3, "über e"), (None, "w5 the"), (90, None), (91, ""), (92, "nowhere-to-be-found"), (93, "!!")]
 
 
-@pytest.mark.parametrize(("top", "block"), [(50, 4 << 20), (3, 60), (1, 1)])
+@pytest.mark.parametrize(("top", "block"), [(50, 4 << 20), (3, 600), (1, 400)])
 def test_ranked_search(spark, top, block):
     docs, items = search_tables()
     found = ranking.rank_documents(
