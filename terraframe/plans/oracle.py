@@ -81,6 +81,9 @@ def _round(*names: str, digits: int = 6) -> str:
 
 
 ORACLE: dict[str, str] = {
+    "raster_tiff": f"{RASTERS} SELECT x, y, round(t, 6) AS t, round(p, 6) AS p FROM surface",
+    "bil_load": f"""{RASTERS} SELECT x, y, 0::INTEGER AS band, p AS value FROM surface
+        UNION ALL SELECT x, y, 1::INTEGER AS band, z AS value FROM surface""",
     "raster_load": f"{RASTERS} SELECT x, y, t, t_a, p FROM surface",
     "rasterize": f"{RASTERS} SELECT x, y, {_round('u', 'r_ld', 'r_lu', 'r_nl')} FROM land",
     "grid_coords": f"""{RASTERS} SELECT x, y, round(-180::DOUBLE + (x + 0.5::DOUBLE) * 1.8::DOUBLE, 6) + 0::DOUBLE AS centre_x,
@@ -225,6 +228,7 @@ ORACLE: dict[str, str] = {
         AND miny <= 43.213::DOUBLE AND maxy >= -30.751::DOUBLE AND status <> 'F'""",
 }
 ORACLE["overlay_tiles"] = ORACLE["overlay_3way"]
+ORACLE["overlay_stored"] = ORACLE["overlay_3way"]
 ORACLE["raster_store"] = ORACLE["flatten"]
 ORACLE["wkt_polygons"] = ORACLE["polygon_mbr"]
 ORACLE["csv_points"] = ORACLE["geotag_points"]

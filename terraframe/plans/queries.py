@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from ..functions.geometry import Box
 from ..functions.ieee import divide
 from ..operators import granules, partition, raster, spatial_join, vector, visual
 from ..session import shared_folder
-from ..sources import features, geojson, rasters, roads
+from ..sources import bil, features, geojson, rasters, roads, tiff
 from . import jobs, testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +79,41 @@ def raster_store(spark, folder):
     return raster.flatten(rasters.read_tiles(spark, path), testbed.GRID)
 
 
+@query
+def raster_tiff(spark, folder):
+    """Bands written as TIFF images by many tasks, one packed to 8 bits, and read again by byte range."""
+    grid, path = replace(testbed.GRID, tile_width=16, tile_height=16), shared_folder(spark, "images")
+    tiles = raster.to_tiles(testbed.surface(spark, folder).select("x", "y", "t", "p"), grid)
+    tiff.write_tiff(tiles, f"{path}/t", grid, ["t"], "u1", nodata=255, shift=273.15)
+    tiff.write_tiff(tiles, f"{path}/p", grid, ["p"], "f4")
+    bands = [tiff.load_mosaic(spark, f"{path}/{b}", grid).withColumnRenamed("tile", b) for b in ("t", "p")]
+    return _rounded(raster.flatten(raster.overlay_tiles(bands), grid), t=6, p=6)
+
+
+@query
+def bil_load(spark, folder):
+    """Bands written as band-interleaved lines and read again by byte range."""
+    path = shared_folder(spark, "lines")
+    tiles = raster.to_tiles(testbed.surface(spark, folder).select("x", "y", "p", "z"), testbed.GRID)
+    bil.write_bil(tiles, path, testbed.GRID, ["p", "z"])
+    return bil.load_bil_folder(spark, path, testbed.GRID, nodata=-9999)
+
+
+@query
+def overlay_stored(spark, folder):
+    """Rasters stored in buckets of tiles and overlaid where they lie."""
+    grid, name = testbed.GRID, f"tiles_{uuid.uuid4().hex}"
+    inputs = {
+        "t": testbed.surface(spark, folder).select("x", "y", "t"), "u": testbed.land(spark, folder).select("x", "y", "u"),
+        "r_sd": testbed.sky(spark, folder),
+    }
+    for band, pixels in inputs.items():
+        rasters.write_tile_table(raster.to_tiles(pixels, grid), f"{name}_{band}", spark.sparkContext.defaultParallelism)
+    stack = raster.overlay_tiles([spark.table(f"{name}_{band}") for band in inputs])
+    stack = raster.flatten(stack, grid, [*inputs], complete=True)
+    return _rounded(stack.withColumn("total", F.col("t") + F.col("u") + F.col("r_sd")), t=6, u=6, r_sd=6, total=6)
+
+
 @query
 def raster_minmax(spark, folder):
     found = raster.min_max(testbed.surface(spark, folder), ["t", "rh"])

@@ -38,11 +38,11 @@ class FeatureWriter:
 
 
 @dataclass
-class _Part(WriterCommitMessage):
-    name: str
+class Part(WriterCommitMessage):
+    names: list[str]
 
 
-def _qualified(path: str, default: str) -> str:
+def qualified(path: str, default: str) -> str:
     """A path with its file system: without a scheme it lies in Spark's default one, as for Spark's own writers."""
     if "://" in path or path.startswith("file:") or default.startswith("file:"):
         return path
@@ -55,45 +55,64 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-class _PartWriter(DataSourceWriter):
-    def __init__(self, writer: type[FeatureWriter], schema: StructType, path: str, overwrite: bool) -> None:
-        self.writer, self.schema, self.path, self.overwrite = writer, schema, path, overwrite
+class StagedOutput:
+    """Files of tasks wait in a folder of the job until all of it has succeeded."""
+
+    def __init__(self, path: str, overwrite: bool) -> None:
+        self.path, self.overwrite = path, overwrite
         self.staging = f"{path.rstrip('/')}/_temporary-{uuid.uuid4().hex}"
 
-    def write(self, iterator: Iterator[Row]) -> _Part:
-        name = f"part-{uuid.uuid4().hex}{self.writer.extension}"
+    def stage(self, stem: str, contents: dict[str, bytes]) -> list[str]:
+        """Write one file for each extension; names are new, so a repeated task disturbs none."""
         system, folder = _open(self.staging)
         system.create_dir(folder, recursive=True)
-        writer = self.writer()
-        with system.open_output_stream(f"{folder}/{name}") as out:
-            writer.initialize(out, self.schema)
-            for row in iterator:
-                writer.write(row)
-            writer.close()
-        return _Part(name)
+        stem = f"{stem}-{uuid.uuid4().hex}"
+        for extension, content in contents.items():
+            with system.open_output_stream(f"{folder}/{stem}{extension}") as out:
+                out.write(content)
+        return [stem + extension for extension in contents]
 
-    def commit(self, messages: list[_Part | None]) -> None:
+    def commit(self, messages: list[Part | None]) -> None:
         system, target = _open(self.path)
         _, staging = _open(self.staging)
         found = system.get_file_info(fs.FileSelector(target, allow_not_found=True))
         old = [f for f in found if f.base_name.startswith("part-")]
         if old and not self.overwrite:
-            system.delete_dir(staging)
+            self.abort(messages)
             raise FileExistsError(f"{self.path} already holds features; write in overwrite mode")
         # New parts first, so that a failure never leaves fewer features than before.
         for message in messages:
-            if message is not None:
-                system.move(f"{staging}/{message.name}", f"{target}/{message.name}")
+            for name in message.names if message is not None else []:
+                system.move(f"{staging}/{name}", f"{target}/{name}")
         for file in old:
             system.delete_file(file.path)
-        system.delete_dir(staging)
+        if system.get_file_info(staging).type == fs.FileType.Directory:
+            system.delete_dir(staging)
 
-    def abort(self, messages: list[_Part | None]) -> None:
+    def abort(self, messages: list[Part | None]) -> None:
         system, staging = _open(self.staging)
         if system.get_file_info(staging).type == fs.FileType.Directory:
             system.delete_dir(staging)
 
 
+class _PartWriter(StagedOutput, DataSourceWriter):
+    def __init__(self, writer: type[FeatureWriter], schema: StructType, path: str, overwrite: bool) -> None:
+        super().__init__(path, overwrite)
+        self.writer, self.schema = writer, schema
+
+    def write(self, iterator: Iterator[Row]) -> Part:
+        name = f"part-{uuid.uuid4().hex}{self.writer.extension}"
+        system, folder = _open(self.staging)
+        system.create_dir(folder, recursive=True)
+        writer = self.writer()
+        with system.open_output_stream(f"{folder}/{name}") as out:
+            writer.initialize(out, self.schema)
+            for row in iterator:
+                writer.write(row)
+            writer.close()
+        return Part([name])
+
+
 def register_feature_writer(spark: SparkSession, writer: type[FeatureWriter]) -> None:
     """Make ``df.write.format(writer.short_name).save(path)`` use the writer class.
 
@@ -108,6 +127,6 @@ def register_feature_writer(spark: SparkSession, writer: type[FeatureWriter]) ->
             return writer.short_name
 
         def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-            return _PartWriter(writer, schema, _qualified(self.options["path"], default), overwrite)
+            return _PartWriter(writer, schema, qualified(self.options["path"], default), overwrite)
 
     spark.dataSource.register(Source)

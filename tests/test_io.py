@@ -3,6 +3,7 @@ import json
 import struct
 import sys
 import zipfile
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -14,7 +15,7 @@ from terraframe.grid import Grid
 from terraframe.operators import raster
 from terraframe.plans import jobs
 from terraframe.sources import bil, features, geojson, roads, shapefile, tiff
-from terraframe.sources.writers import FeatureWriter, _qualified, register_feature_writer
+from terraframe.sources.writers import FeatureWriter, qualified, register_feature_writer
 
 
 def put(path, data):
@@ -403,8 +404,101 @@ def test_tiff_is_cut_to_the_grid(spark, tmp_path, stored, wanted):
         tiff.load_on_grid(spark, f"{tmp_path}/in", grid)
 
 
+def test_one_image_is_read_by_several_tasks(spark, tmp_path):
+    image = np.arange(64 * 48).reshape(64, 48, 1).astype("int32")
+    for stored, count in ((16, 12), (None, 32)):
+        path = put(tmp_path / f"{stored}.tif", tif("<", image, stored))
+        tiles = tiff.load_tiff(spark, path, range_bytes=1024)
+        held = {(r.tx, r.ty): r.tile for r in tiles.collect()}
+        height, width = (stored, stored) if stored else (2, 48)
+        assert held[(0, 1)] == image[height : 2 * height, :width, 0].ravel().tolist()
+        assert len(held) == count
+        assert tiles.select(F.spark_partition_id()).distinct().count() > 4
+
+
+def test_long_strips_are_cut():
+    assert tiff._strip_cut(100, 1, 30) == 30 and tiff._strip_cut(100, 4, 30) == 25
+    assert tiff._strip_cut(20, 5, 30) == 20 and tiff._strip_cut(97, 2, 30) == 1
+
+
+def test_single_strip_image(tmp_path):
+    image = np.arange(10 * 6).reshape(10, 6, 1).astype("uint8")
+    raw = bytearray(tif("<", image))
+    # One strip for all lines: rows per strip 10, one offset.
+    directory = {struct.unpack_from("<H", raw, 10 + 12 * i)[0]: 10 + 12 * i for i in range(struct.unpack_from("<H", raw, 8)[0])}
+    first = struct.unpack_from("<I", raw, struct.unpack_from("<I", raw, directory[273] + 8)[0])[0]
+    struct.pack_into("<H", raw, directory[278] + 8, 10)
+    struct.pack_into("<II", raw, directory[273] + 4, 1, first)
+    struct.pack_into("<II", raw, directory[279] + 4, 1, 60)
+    path = put(tmp_path / "one.tif", bytes(raw))
+    plans = list(tiff._plan_file(path, 24))
+    assert [p["tile_height"] for p in plans] == [4, 4, 4]
+    values = [tile.values.to_pylist() for p in plans for *_, tile in tiff._tiles(p, True)]
+    assert [v for tile in values for v in tile if v is not None] == list(range(60))
+
+
+def test_64_bit_tiff(spark, tmp_path):
+    data = np.arange(256, dtype="<f4").tobytes()
+    tags = [(256, 4, 16), (257, 4, 16), (258, 3, 32), (259, 3, 1), (277, 3, 1), (322, 4, 16), (323, 4, 16),
+            (324, 16, 16 + 8 + 20 * 10 + 8), (325, 16, len(data)), (339, 3, 3)]
+    body = struct.pack("<Q", len(tags)) + b"".join(struct.pack("<HHQQ", t, k, 1, v) for t, k, v in tags) + bytes(8)
+    path = put(tmp_path / "big.tif", b"II" + struct.pack("<HHHQ", 43, 8, 0, 16) + body + data)
+    assert tiff.load_tiff(spark, path).first().tile == [float(i) for i in range(256)]
+
+
+@pytest.mark.parametrize(("dtype", "nodata", "scale"), [("u1", 0, 0.5), ("f4", None, 1.0), ("<i2", -1, 1.0), ("f8", -9.0, 2.0)])
+def test_tiff_round_trip(spark, tmp_path, dtype, nodata, scale):
+    grid = Grid(10.0, 50.0, 17.0, 40.0, 4326, 70, 100, 16, 16)
+    pixels = spark.range(70 * 100).where("id % 7 <> 0 AND id < 6000").selectExpr(
+        "cast(id % 70 as int) AS x", "cast(id div 70 as int) AS y", "id % 100 + 1D AS a", "id % 50 + 2D AS b")
+    tiles = raster.to_tiles(pixels, grid)
+    path = str(tmp_path / "out dir")
+    tiff.write_tiff(tiles, path, grid, ["a", "b"], dtype, nodata, scale, block=2)
+    assert len(list((tmp_path / "out dir").glob("part-*.tif"))) == 9 and not list((tmp_path / "out dir").glob("_temp*"))
+    for number, band in enumerate("ab"):
+        back = raster.flatten(tiff.load_mosaic(spark, path, grid, number), grid)
+        wanted = {(r.x, r.y): r[band] for r in pixels.collect()}
+        assert {(r.x, r.y): r.tile for r in back.collect()} == wanted
+    with pytest.raises(Exception, match="already holds"):
+        tiff.write_tiff(tiles, path, grid, ["a"], dtype, nodata, scale)
+    tiff.write_tiff(tiles.limit(1), path, grid, ["a"], dtype, nodata, scale, overwrite=True)
+    assert tiff.load_mosaic(spark, path, grid).count() == 1
+    with pytest.raises(Exception, match="does not lie"):
+        tiff.load_mosaic(spark, path, replace(grid, x1=10.05, x2=17.05)).collect()
+
+
+def test_tiff_values_that_do_not_fit_are_refused(spark, tmp_path):
+    grid = Grid(0.0, 0.0, 16.0, 16.0, 4326, 16, 16, 16, 16)
+    tiles = raster.to_tiles(spark.sql("SELECT 1 AS x, 1 AS y, 300D AS v UNION ALL SELECT 2, 1, 7D"), grid)
+    for number, (nodata, message) in enumerate(((255, "does not fit"), (7, "fit|nodata value 7"))):
+        with pytest.raises(Exception, match=message):
+            tiff.write_tiff(tiles, str(tmp_path / str(number)), grid, ["v"], "u1", nodata)
+        assert not list((tmp_path / str(number)).glob("*"))
+    with pytest.raises(Exception, match="nodata value 7"):
+        tiff.write_tiff(tiles, str(tmp_path / "n"), grid, ["v"], "i2", 7)
+    with pytest.raises(ValueError, match="need a nodata"):
+        tiff.write_tiff(tiles, str(tmp_path / "m"), grid, ["v"], "u1")
+    empty = tiles.limit(0)
+    tiff.write_tiff(empty, str(tmp_path / "e"), grid, ["v"])
+
+
+def test_bil_folder(spark, tmp_path):
+    grid = Grid(0.0, 30.0, 12.0, 0.0, 4326, 12, 30, 5, 4)
+    pixels = spark.range(12 * 30).where("id % 5 <> 0").selectExpr(
+        "cast(id % 12 as int) AS x", "cast(id div 12 as int) AS y", "id * 1000D AS a", "-id - 1D AS b")
+    path = str(tmp_path / "lines")
+    bil.write_bil(raster.to_tiles(pixels, grid), path, grid, ["a", "b"])
+    assert len(list((tmp_path / "lines").glob("*.bil"))) == 8
+    back = bil.load_bil_folder(spark, path, grid, nodata=-9999, range_bytes=150)
+    assert back.select(F.spark_partition_id()).distinct().count() > 8
+    wanted = {(r.x, r.y, i): r[b] for r in pixels.collect() for i, b in enumerate("ab")}
+    assert {(r.x, r.y, r.band): r.value for r in back.collect()} == wanted
+    with pytest.raises(Exception, match="does not fit"):
+        bil.write_bil(raster.to_tiles(pixels, grid), path + "2", grid, ["a"], dtype="<i2")
+
+
 def test_writer_paths_lie_in_the_default_file_system():
-    assert _qualified("/a/b", "hdfs://name:9000/") == "hdfs://name:9000/a/b"
-    assert _qualified("/a/b", "file:///") == "/a/b" and _qualified("s3://k/a", "hdfs://name") == "s3://k/a"
+    assert qualified("/a/b", "hdfs://name:9000/") == "hdfs://name:9000/a/b"
+    assert qualified("/a/b", "file:///") == "/a/b" and qualified("s3://k/a", "hdfs://name") == "s3://k/a"
     with pytest.raises(ValueError, match="absolute"):
-        _qualified("a", "hdfs://name")
+        qualified("a", "hdfs://name")
