@@ -6,6 +6,7 @@ them after the shuffle. Drawing pixels is left to whoever reads the result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,52 @@ def data_bounds(features: DataFrame) -> Box | None:
     return None if row[0] is None else Box(*row)
 
 
+@dataclass(frozen=True)
+class PyramidPlotter:
+    """What is drawn on every tile of a pyramid, as state that merges from level to level.
+
+    A tile has ``2 ** detail`` cells along a side. ``state`` gives for each column the aggregate over the features of a
+    cell on the deepest level (of any of their columns, boxes included) and the aggregate that merges four
+    cells into one. ``finish`` turns ``z, tx, ty, cell_x, cell_y`` and the state into what is drawn; ``side`` is the length
+    of the square in map units.
+    """
+
+    detail: int = 0
+    state: dict[str, tuple[Column, Callable[[Column], Column]]] = field(default_factory=dict)
+
+    def finish(self, cells: DataFrame, side: float) -> DataFrame:
+        return cells
+
+
+class ClusterPyramid(PyramidPlotter):
+    """Clusters of ``tile_size >> detail`` pixels on tiles of ``tile_size`` pixels.
+
+    Rows give the count of a cluster and its size ``w, h`` in pixels of the level: that of its largest feature, but at
+    least one cell.
+    """
+
+    def __init__(self, detail: int = 2, tile_size: int = 256) -> None:
+        if tile_size <= 0 or tile_size % (1 << detail):
+            raise ValueError("the pixels of a tile must divide into its cells")
+        super().__init__(
+            detail,
+            {
+                "count": (F.count("*"), F.sum),
+                "_w": (F.max(F.col("maxx") - F.col("minx")), F.max),
+                "_h": (F.max(F.col("maxy") - F.col("miny")), F.max),
+            },
+        )
+        object.__setattr__(self, "tile_size", tile_size)
+
+    def finish(self, cells: DataFrame, side: float) -> DataFrame:
+        least = F.lit(self.tile_size >> self.detail)
+
+        def pixels(size: str) -> Column:
+            return F.greatest(least, F.ceil(F.col(size) / F.lit(side) * F.lit(float(self.tile_size)) * F.pow(F.lit(2.0), "z")).cast("int"))
+
+        return cells.select("z", "tx", "ty", "cell_x", "cell_y", pixels("_w").alias("w"), pixels("_h").alias("h"), "count")
+
+
 def pyramid(
     features: DataFrame,
     min_level: int = 0,
@@ -35,64 +82,81 @@ def pyramid(
 ) -> DataFrame:
     """Feature counts of the tiles ``(z, tx, ty)`` of levels ``min_level..max_level``.
 
+    Placed as by :func:`plot_pyramid`. Tiles with a count not above ``threshold`` are left out.
+    """
+    counts = PyramidPlotter(0, {"n_features": (F.count("*"), F.sum)})
+    counted = plot_pyramid(features, counts, min_level, max_level, bounds).drop("cell_x", "cell_y")
+    return counted if threshold <= 0 else counted.where(F.col("n_features") > threshold)
+
+
+def plot_pyramid(
+    features: DataFrame, plotter: PyramidPlotter, min_level: int = 0, max_level: int = 19, bounds: Box | None = None
+) -> DataFrame:
+    """Run a plotter over the tiles ``(z, tx, ty)`` of levels ``min_level..max_level``.
+
     Tiles are cut from the square over the data (or over ``bounds``); features
     are placed by the centre of their box, and the far edge belongs to the last tile.
-    Features are counted once on the deepest level; some levels at a time are then rolled up
-    in place below a common ancestor, and the level above goes on from there. Tiles with a
-    count not above ``threshold`` are left out.
+    Features are aggregated once on the deepest level; some levels at a time are then rolled up
+    in place below a common ancestor, and the level above goes on from there.
     """
-    if not 0 <= min_level <= max_level <= 30:
-        raise ValueError("levels must satisfy 0 <= min_level <= max_level <= 30")
+    if not 0 <= min_level <= max_level <= max_level + plotter.detail <= 30:
+        raise ValueError("levels must satisfy 0 <= min_level <= max_level <= 30, the cells of a tile included")
     boxed = features if "minx" in features.columns else with_envelope(features)
     bounds = bounds or data_bounds(boxed) or Box(0.0, 0.0, 1.0, 1.0)
     side = max(bounds.maxx - bounds.minx, bounds.maxy - bounds.miny) or 1.0
-    tiles = 1 << max_level
+    cells = 1 << (max_level + plotter.detail)
 
     def index(value: Column, low: float) -> Column:
-        at = F.floor((value - F.lit(low)) / F.lit(side) * F.lit(float(tiles)))
-        return F.least(at, F.lit(tiles - 1)).cast("int")
+        at = F.floor((value - F.lit(low)) / F.lit(side) * F.lit(float(cells)))
+        return F.least(at, F.lit(cells - 1)).cast("int")
 
     centre_x = (F.col("minx") + F.col("maxx")) / 2
     centre_y = (F.col("miny") + F.col("maxy")) / 2
     inside = centre_x.between(bounds.minx, bounds.minx + side) & centre_y.between(bounds.miny, bounds.miny + side)
-    counts = (
+    merges = {n: merge for n, (_, merge) in plotter.state.items()}
+    state = (
         boxed.where(inside)
         .groupBy(index(centre_x, bounds.minx).alias("tx"), index(centre_y, bounds.miny).alias("ty"))
-        .agg(F.count("*").alias("n_features"))
+        .agg(*[made.alias(n) for n, (made, _) in plotter.state.items()])
     )
-    counted, top = None, max_level
+    plotted, top = None, max_level
     while True:
         low = max(min_level, top - LEVELS_AT_ONCE + 1)
-        levels = _roll_up(counts, low, top)
-        counted = levels if counted is None else counted.unionByName(levels)
+        levels = _roll_up(state, merges, low, top)
+        plotted = levels if plotted is None else plotted.unionByName(levels)
         if low == min_level:
             break
-        counts = levels.where(F.col("z") == low).select(
-            F.shiftright("tx", 1).alias("tx"), F.shiftright("ty", 1).alias("ty"), "n_features"
+        state = levels.where(F.col("z") == low).select(
+            F.shiftright("tx", 1).alias("tx"), F.shiftright("ty", 1).alias("ty"), *merges
         )
         top = low - 1
-    return counted if threshold <= 0 else counted.where(F.col("n_features") > threshold)
+    last = (1 << plotter.detail) - 1
+    placed = plotted.select(
+        "z", F.shiftright("tx", plotter.detail).alias("tx"), F.shiftright("ty", plotter.detail).alias("ty"),
+        F.col("tx").bitwiseAND(last).alias("cell_x"), F.col("ty").bitwiseAND(last).alias("cell_y"), *merges,
+    )
+    return plotter.finish(placed, side)
 
 
-def _roll_up(counts: DataFrame, low: int, top: int) -> DataFrame:
-    """Levels ``low..top`` of a table of the tiles of level ``top``.
+def _roll_up(state: DataFrame, merges: dict[str, Callable[[Column], Column]], low: int, top: int) -> DataFrame:
+    """Levels ``low..top`` of a table of the cells of level ``top``.
 
-    Tiles are placed by their ancestor on level ``low``, which has at most ``4 ** (top - low)`` of them, so the sums of all
-    levels are made where the tiles are.
+    Cells are placed by their ancestor on level ``low``, which has at most ``4 ** (top - low)`` of them, so the state of all
+    levels is merged where the cells are.
     """
     home = [F.shiftright(c, top - low).alias(f"_{c}") for c in ("tx", "ty")]
-    placed = counts.select("tx", "ty", "n_features", *home).repartition("_tx", "_ty")
+    placed = state.select("tx", "ty", *merges, *home).repartition("_tx", "_ty")
     ancestors = F.array(*[
         F.struct(
             F.lit(z).alias("z"), F.shiftright("tx", top - z).alias("tx"), F.shiftright("ty", top - z).alias("ty")
         )
         for z in range(low, top + 1)
     ])
-    rows = placed.select("_tx", "_ty", "n_features", F.explode(ancestors).alias("t"))
-    summed = rows.select("_tx", "_ty", "t.*", "n_features").groupBy("_tx", "_ty", "z", "tx", "ty").agg(
-        F.sum("n_features").alias("n_features")
+    rows = placed.select("_tx", "_ty", *merges, F.explode(ancestors).alias("t"))
+    merged = rows.select("_tx", "_ty", "t.*", *merges).groupBy("_tx", "_ty", "z", "tx", "ty").agg(
+        *[merge(F.col(n)).alias(n) for n, merge in merges.items()]
     )
-    return summed.drop("_tx", "_ty")
+    return merged.drop("_tx", "_ty")
 
 
 @dataclass(frozen=True)

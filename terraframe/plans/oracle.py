@@ -215,6 +215,16 @@ ORACLE: dict[str, str] = {
         placed AS (SELECT z, least(floor((x - x0) / side * pow(2, z)), pow(2, z) - 1)::INTEGER AS tx,
             least(floor((y - y0) / side * pow(2, z)), pow(2, z) - 1)::INTEGER AS ty FROM points, box, levels)
         SELECT z, tx, ty, count(*) AS n_features FROM placed GROUP BY z, tx, ty""",
+    "pyramid_clusters": f"""WITH boxes AS (SELECT cx - w AS minx, cx + w AS maxx, cy - h AS miny, cy + h AS maxy FROM ({PARCELS})),
+        box AS (SELECT min(minx) AS x0, min(miny) AS y0, greatest(max(maxx) - min(minx), max(maxy) - min(miny)) AS side FROM boxes),
+        levels AS (SELECT unnest(range(9))::INTEGER AS z),
+        placed AS (SELECT z, side, maxx - minx AS w, maxy - miny AS h,
+            least(floor(((minx + maxx) / 2 - x0) / side * pow(2, z + 2)), pow(2, z + 2) - 1)::INTEGER AS cx,
+            least(floor(((miny + maxy) / 2 - y0) / side * pow(2, z + 2)), pow(2, z + 2) - 1)::INTEGER AS cy FROM boxes, box, levels)
+        SELECT z, cx >> 2 AS tx, cy >> 2 AS ty, cx & 3 AS cell_x, cy & 3 AS cell_y,
+            greatest(64, ceil(max(w) / any_value(side) * 256 * pow(2, z)))::INTEGER AS w,
+            greatest(64, ceil(max(h) / any_value(side) * 256 * pow(2, z)))::INTEGER AS h, count(*) AS count
+        FROM placed GROUP BY z, cx, cy""",
     "cluster_cells": f"""{FEATURES}, pixels AS (SELECT floor((x + 180) * (1000 / 360::DOUBLE))::INTEGER AS px,
             floor((y + 90) * (500 / 180::DOUBLE))::INTEGER AS py FROM points),
         cells AS (SELECT (px // 50)::INTEGER AS cell_x, (py // 50)::INTEGER AS cell_y FROM pixels)

@@ -668,6 +668,13 @@ def pyramid_counts(spark, folder):
     return visual.pyramid(testbed.points(spark, folder), 0, 19)
 
 
+@query
+def pyramid_clusters(spark, folder):
+    """Clusters on every tile of nine levels, merged from level to level."""
+    shapes = vector.with_envelope(testbed.parcels(spark, folder))
+    return visual.plot_pyramid(shapes, visual.ClusterPyramid(), 0, 8)
+
+
 @query
 def cluster_cells(spark, folder):
     canvas = visual.Canvas(Box(-180.0, -90.0, 180.0, 90.0), 1000, 500)

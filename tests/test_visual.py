@@ -140,3 +140,33 @@ def test_new_granules_are_taken_once(spark, tmp_path):
     rows.where("name <> 'b'").write.mode("append").parquet(f"{tmp_path}/manifest")
     assert run("0,0,1,1", "first") == ["a", "b", "e"]
     assert run("0,0,9,9", "wider") == ["a", "b", "d", "e"]
+
+
+def test_any_state_rolls_up(spark):
+    """Each level of a plotter's state equals the state made from the features directly."""
+    class Hottest(visual.PyramidPlotter):
+        def finish(self, cells, side):
+            return cells.withColumn("mean", F.col("total") / F.col("n"))
+
+    plotter = Hottest(3, {"n": (F.count("*"), F.sum), "total": (F.sum("v"), F.sum), "top": (F.max("v"), F.max)})
+    spots = spark.range(3000).selectExpr(
+        "cast(id * 37 % 101 as double) AS x", "cast(id * 53 % 97 as double) AS y", "cast(id % 11 as double) AS v")
+    box = Box(0.0, 0.0, 100.0, 96.0)
+    rolled = visual.plot_pyramid(spots, plotter, 1, 12, box)
+    for z in (1, 4, 5, 12):
+        direct = visual.plot_pyramid(spots, plotter, z, z, box)
+        assert rolled.where(F.col("z") == z).exceptAll(direct).isEmpty() and direct.exceptAll(rolled).isEmpty()
+    assert rolled.where("z = 1").agg(F.max("cell_x"), F.sum("n")).first() == (7, 3000)
+
+
+def test_cluster_pyramid_sizes(spark):
+    boxes = spark.createDataFrame([(0.0, 0.0, 80.0, 8.0), (1.0, 1.0, 1.0, 1.0), (2.0, 2.0, 2.0, 2.0), (None, None, None, None)],
+                                  "minx double, miny double, maxx double, maxy double")
+    found = visual.plot_pyramid(boxes, visual.ClusterPyramid(2, 64), 0, 3, Box(0.0, 0.0, 100.0, 100.0))
+    held = {(r.z, r.tx, r.ty, r.cell_x, r.cell_y): (r.w, r.h, r["count"]) for r in found.collect()}
+    assert held[(0, 0, 0, 0, 0)] == (16, 16, 2) and held[(0, 0, 0, 1, 0)] == (52, 16, 1)
+    assert held[(3, 3, 0, 0, 1)] == (410, 41, 1)
+    with pytest.raises(ValueError, match="divide"):
+        visual.ClusterPyramid(3, 100)
+    with pytest.raises(ValueError, match="levels"):
+        visual.plot_pyramid(boxes, visual.ClusterPyramid(), 0, 29)
