@@ -138,6 +138,8 @@ ORACLE: dict[str, str] = {
     "range_pushdown": """SELECT l_orderkey, l_linenumber, l_extendedprice AS x, l_quantity AS y FROM lineitem
         WHERE l_extendedprice BETWEEN 20000 AND 45000 AND l_quantity BETWEEN 10 AND 30""",
     "range_polygons": f"{FEATURES} SELECT c_custkey, c_mktsegment FROM parcels WHERE {_meets('w', 'h')}",
+    "shapefile_load": f"""{FEATURES} SELECT c_custkey, round(cx - w, 6) + 0::DOUBLE AS minx, round(cy - h, 6) + 0::DOUBLE AS miny,
+        round(cx + w, 6) + 0::DOUBLE AS maxx, round(cy + h, 6) + 0::DOUBLE AS maxy FROM parcels WHERE {_meets('w', 'h')}""",
     "range_polygon": f"""{FEATURES}, quad AS (SELECT * FROM (VALUES (-100, -40, 60, -70), (60, -70, 120, 30),
             (120, 30, -20, 80), (-20, 80, -100, -40)) AS q(x1, y1, x2, y2))
         SELECT event_id, {_round('x', 'y')}, event_type, value FROM points WHERE NOT EXISTS (SELECT 1 FROM quad

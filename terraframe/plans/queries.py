@@ -580,7 +580,7 @@ def range_polygon_shapes(spark, folder):
 def wkt_store(spark, folder):
     """Polygons written as WKT by many tasks and loaded again by format name."""
     path = shared_folder(spark, "wkt")
-    features.save_features(testbed.parcels(spark, folder), path, "wkt")
+    features.save_features(testbed.parcels(spark, folder).withColumnRenamed("c_mktsegment", "segment"), path, "wkt")
     stored = features.load_features(spark, path, "wkt").select(F.col("c_custkey").cast("bigint"), *vector.BOX)
     return _rounded(stored, minx=6, miny=6, maxx=6, maxy=6)
 
@@ -595,6 +595,15 @@ def convert_formats(spark, folder):
     return _rounded(stored.select("event_id", "event_type", "geom_type", "x", "y"), x=6, y=6)
 
 
+@query
+def shapefile_load(spark, folder):
+    """Outlines written as shapefiles by many tasks; a range query reaches the reader."""
+    path = shared_folder(spark, "shapes")
+    features.save_features(testbed.parcels(spark, folder).withColumnRenamed("c_mktsegment", "segment"), path, "shapefile")
+    found = features.load_features(spark, path, "shapefile", testbed.RANGE, attributes=["c_custkey"])
+    return _rounded(found.select(F.col("c_custkey").cast("long"), *vector.BOX), minx=6, miny=6, maxx=6, maxy=6)
+
+
 @query
 def overwrite_store(spark, folder):
     """A stored feature set replaced by another one."""

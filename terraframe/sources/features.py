@@ -196,3 +196,4 @@ register_writer("parquet", _write_parquet)
 register_writer("csv", write_csv_points)
 register_writer("wkt", write_wkt)
 register_writer("geojson", write_geojson)
+register_writer("shapefile", shapefile.write_shapefile)

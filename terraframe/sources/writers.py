@@ -51,7 +51,7 @@ def qualified(path: str, default: str) -> str:
     return default.rstrip("/") + path
 
 
-def _open(path: str) -> tuple[fs.FileSystem, str]:
+def open_folder(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
@@ -64,7 +64,7 @@ class StagedOutput:
 
     def stage(self, stem: str, contents: dict[str, bytes]) -> list[str]:
         """Write one file for each extension; names are new, so a repeated task disturbs none."""
-        system, folder = _open(self.staging)
+        system, folder = open_folder(self.staging)
         system.create_dir(folder, recursive=True)
         stem = f"{stem}-{uuid.uuid4().hex}"
         for extension, content in contents.items():
@@ -73,8 +73,8 @@ class StagedOutput:
         return [stem + extension for extension in contents]
 
     def commit(self, messages: list[Part | None]) -> None:
-        system, target = _open(self.path)
-        _, staging = _open(self.staging)
+        system, target = open_folder(self.path)
+        _, staging = open_folder(self.staging)
         found = system.get_file_info(fs.FileSelector(target, allow_not_found=True))
         old = [f for f in found if f.base_name.startswith("part-")]
         if old and not self.overwrite:
@@ -90,7 +90,7 @@ class StagedOutput:
             system.delete_dir(staging)
 
     def abort(self, messages: list[Part | None]) -> None:
-        system, staging = _open(self.staging)
+        system, staging = open_folder(self.staging)
         if system.get_file_info(staging).type == fs.FileType.Directory:
             system.delete_dir(staging)
 
@@ -102,7 +102,7 @@ class _PartWriter(StagedOutput, DataSourceWriter):
 
     def write(self, iterator: Iterator[Row]) -> Part:
         name = f"part-{uuid.uuid4().hex}{self.writer.extension}"
-        system, folder = _open(self.staging)
+        system, folder = open_folder(self.staging)
         system.create_dir(folder, recursive=True)
         writer = self.writer()
         with system.open_output_stream(f"{folder}/{name}") as out:

@@ -145,6 +145,69 @@ def test_unknown_shape_type_fails(spark, tmp_path):
         shapefile.load_shapefile(spark, path).collect()
 
 
+@pytest.fixture(scope="module")
+def shapes(spark):
+    """Polygons, lines, points and features without a shape."""
+    def ring(*points):
+        pairs = [p.split(", ") for p in points]
+        return "array(" + ", ".join(f"named_struct('x', id + {x}, 'y', {y})" for x, y in pairs) + ")"
+
+    return spark.range(600).selectExpr(
+        "concat('n\u00e4me ', id) AS name", "id AS no", "CASE id % 4 WHEN 0 THEN 'Polygon' WHEN 1 THEN 'MultiLineString' WHEN 2 THEN 'Point' END AS geom_type",
+        "if(id % 4 = 2, cast(id as double), null) AS x", "if(id % 4 = 2, 1D, null) AS y",
+        f"if(id % 4 < 2, array({ring('0D, 0D', '1D, 0D', '1D, 4D', '0D, 0D')}, {ring('0.5D, 0.1D', '0.6D, 0.1D', '0.5D, 0.1D')}), null) AS rings",
+    ).withColumn("geom_type", F.when(F.col("geom_type") == "Polygon", "MultiPolygon").otherwise(F.col("geom_type")))
+
+
+def test_shapefiles_are_written_and_read_by_many_tasks(spark, shapes, tmp_path):
+    path = str(tmp_path / "many")
+    features.save_features(shapes, path, "shapefile", range_bytes=20_000)
+    assert len(list((tmp_path / "many").glob("part-*.shp"))) > 3 and not list((tmp_path / "many").glob("_temp*"))
+    back = features.load_features(spark, path, "shapefile", attributes=["name", "no"], range_bytes=3000)
+    assert back.rdd.getNumPartitions() > 15
+    names = ["name", "geom_type", "x", "y", "rings"]
+    assert sorted(map(str, back.select(*names).collect())) == sorted(map(str, shapes.select(*names).collect()))
+    with pytest.raises(Exception, match="already holds"):
+        features.save_features(shapes, path, "shapefile")
+    features.save_features(shapes.limit(0), path, "shapefile", overwrite=True)
+    assert features.load_features(spark, path, "shapefile").count() == 0
+
+
+def test_filters_reach_the_shapefile_reader(spark, shapes, tmp_path, plan):
+    path = str(tmp_path / "some")
+    features.save_features(shapes, path, "shapefile")
+    found = features.load_features(spark, path, "shapefile", "100.2,0,103.5,3", attributes=["no"])
+    scan = next(x for x in plan(found).splitlines() if "BatchScan" in x)
+    assert "minx" in scan
+    # Feature 101 is a line along the bottom and up to (102, 4), 102 a point, 103 has no shape.
+    assert sorted(int(r.no) for r in found.collect()) == [100, 101, 102]
+    reader = shapefile._Reader(path, 1 << 20)
+    list(reader.pushFilters([shapefile.LessThanOrEqual(("minx",), 103.5), shapefile.GreaterThanOrEqual(("maxx",), 100.2)]))
+    read = [n for part in reader.partitions() for batch in reader.read(part) for n in batch.column("minx").to_pylist()]
+    assert sorted(read) == [100.0, 101.0, 102.0]
+
+
+def test_deleted_records_code_pages_and_cut_files(spark, tmp_path):
+    table = bytearray(dbf(["point", "poly", "line", "none", "gro\u00df"]).replace("gro\u00df".encode(), b"gro\xdf "))
+    put(tmp_path / "a.shp", shp(SHAPES))
+    table[32 + 2 * 32 + 1 + 13] = ord("*")
+    put(tmp_path / "a.dbf", bytes(table))
+    for page, last in ((None, "gro\u00df"), ("1252", "gro\u00df"), ("ISO-8859-5", "gro\u043f"), ("88591", "gro\u00df")):
+        if page:
+            put(tmp_path / "a.cpg", page)
+        rows = [r.NAME for r in features.load_features(spark, f"{tmp_path}/a.shp", attributes=["NAME"]).collect()]
+        assert rows == ["point", "line", "none", last]
+    body = bytearray(shp(SHAPES))
+    struct.pack_into(">i", body, 24, len(body) // 2)
+    put(tmp_path / "b.shp", bytes(body[:-8]))
+    with pytest.raises(Exception, match="ends at"):
+        features.load_features(spark, f"{tmp_path}/b.shp").collect()
+    put(tmp_path / "b.shp", bytes(body))
+    put(tmp_path / "b.dbf", dbf(NAMES[:-1]))
+    with pytest.raises(Exception, match="5 shapes but 4 records"):
+        features.load_features(spark, f"{tmp_path}/b.shp").collect()
+
+
 # Rasters
 
 
