@@ -7,13 +7,12 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..grid import Grid
-from .ranges import RANGE_BYTES, list_files, open_file, pixels_of, read_exactly, read_ranges, total_length, write_blocks
+from .ranges import RANGE_BYTES, list_files, open_file, pixels_of, plan_files, read_exactly, read_ranges, total_length, write_blocks
 
 PIXELS = "x int, y int, band int, value double"
 PLAN = "path string, first long, last long, columns int, bands int, shift int"
@@ -113,21 +112,20 @@ def load_bil_folder(
 
     Each header's ``ULYMAP`` (the middle of its first line on the map) places the file in ``grid``.
     """
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path in batch["path"]:
-                with open_file(path) as file:
-                    text = file.read().decode("ascii")
-                header, data = parse_header(text, path), path.removesuffix(".hdr") + ".bil"
-                with open_file(data) as file:
-                    line = _check(header, data, file.size(), np.dtype(dtype).itemsize)
-                found = re.search(r"\bULYMAP\s+(\S+)", text)
-                shift = 0 if found is None else round((float(found[1]) - grid.y1) / grid.step_y - 0.5)
-                many, total = max(1, range_bytes // line), header.rows * header.bands
-                rows = [(data, at, min(at + many, total), header.columns, header.bands, shift) for at in range(0, total, many)]
-                yield pd.DataFrame(rows, columns=["path", "first", "last", "columns", "bands", "shift"])
-
-    planned = list_files(spark, folder, "*.hdr").select("path").mapInPandas(plan, PLAN)
+    def plan(path: str) -> Iterator[dict]:
+        with open_file(path) as file:
+            text = file.read().decode("ascii")
+        header, data = parse_header(text, path), path.removesuffix(".hdr") + ".bil"
+        with open_file(data) as file:
+            line = _check(header, data, file.size(), np.dtype(dtype).itemsize)
+        found = re.search(r"\bULYMAP\s+(\S+)", text)
+        shift = 0 if found is None else round((float(found[1]) - grid.y1) / grid.step_y - 0.5)
+        many, total = max(1, range_bytes // line), header.rows * header.bands
+        for first in range(0, total, many):
+            last = min(first + many, total)
+            yield {"path": data, "first": first, "last": last, "columns": header.columns, "bands": header.bands, "shift": shift}
+
+    planned = plan_files(list_files(spark, folder, "*.hdr"), plan, PLAN)
     stored = total_length(list_files(spark, folder, "*.bil"))
     pixels = read_ranges(planned, -(-stored // range_bytes), _read(dtype), PIXELS, ("path", "first"))
     return pixels if nodata is None else pixels.where(F.col("value") != nodata)

@@ -21,6 +21,10 @@ from .writers import Part, StagedOutput, qualified
 
 RANGE_BYTES = 32 << 20
 DOUBLES = pa.list_(pa.field("element", pa.float64()))
+TYPES = {
+    "string": pa.string(), "boolean": pa.bool_(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(),
+    "array<long>": pa.list_(pa.field("element", pa.int64())), "array<double>": DOUBLES,
+}
 
 
 def open_file(path: str) -> pa.NativeFile:
@@ -48,6 +52,18 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(path).select("path", "length")
 
 
+def plan_files(files: DataFrame, plan: Callable[[str], Iterator[dict]], schema: str) -> DataFrame:
+    """The ranges of each file, found by the task that meets the file; ``schema`` is made of :data:`TYPES`."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = pa.schema([(name, TYPES[kind]) for name, kind in (c.split() for c in schema.split(", "))])
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                for row in plan(path):
+                    yield pa.RecordBatch.from_pylist([row], kinds)
+
+    return files.select("path").mapInArrow(run, schema)
+
+
 def read_ranges(planned: DataFrame, tasks: int, read: Callable, schema: str, keys: tuple[str, ...]) -> DataFrame:
     """Hand the planned ranges to their tasks.
 

@@ -13,7 +13,6 @@ from collections.abc import Iterator, Sequence
 from dataclasses import replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from ..grid import Grid
 from ..operators import raster
 from .ranges import (
-    RANGE_BYTES, doubles, list_files, open_file, pixels_of, read_exactly, read_ranges, total_length, write_blocks,
+    RANGE_BYTES, doubles, list_files, open_file, pixels_of, plan_files, read_exactly, read_ranges, total_length, write_blocks,
 )
 
 SCHEMA = (
@@ -144,7 +143,7 @@ def _plan_file(path: str, range_bytes: int = RANGE_BYTES) -> Iterator[dict]:
             "path": path, "width": width, "height": height, "tile_width": tile_w, "tile_height": tile_h,
             "samples": samples, "full": full, "dtype": dtype.str, "nodata": nodata, "scales": scales, "shifts": shifts,
             "origin_x": origin_x, "origin_y": origin_y,
-            "first": first, "offsets": offsets[first : first + many], "sizes": sizes[first : first + many],
+            "first": first, "offsets": offsets[first : first + many].tolist(), "sizes": sizes[first : first + many].tolist(),
         }
 
 
@@ -186,13 +185,6 @@ def load_tiff(spark: SparkSession, path: str, unpack: bool = True, range_bytes:
     types = [pa.string(), *[pa.int32()] * 4]
     layout = [*names, "band", "tx", "ty", "origin_x", "origin_y", "tile"]
 
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [c.split()[0] for c in PLAN.split(", ")]
-        for batch in batches:
-            for file in batch["path"]:
-                for row in _plan_file(file, range_bytes):
-                    yield pd.DataFrame([row], columns=columns)
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for plan in batch.to_pylist():
@@ -202,7 +194,7 @@ def load_tiff(spark: SparkSession, path: str, unpack: bool = True, range_bytes:
                     corner = [pa.array([plan[n]], pa.float64()) for n in ("origin_x", "origin_y")]
                     yield pa.RecordBatch.from_arrays([*head, *keys, *corner, tile], layout)
 
-    planned = files.select("path").mapInPandas(plan, PLAN)
+    planned = plan_files(files, lambda file: _plan_file(file, range_bytes), PLAN)
     return read_ranges(planned, -(-total_length(files) // range_bytes), read, SCHEMA, ("path", "first"))
 
 
