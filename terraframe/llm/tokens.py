@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -22,6 +23,14 @@ _KEPT = re.compile(rf" ?{_LETTERS}| ?[^ \n]+|[ \n]")
 _DROPPED = re.compile(rf"{_LETTERS}|[^ \n]+")
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ƺ]+").fullmatch
 _WHITE = re.compile(r"\s").search
+# Normalizer and splitter of word vocabularies: a run of plain letters is one word, in lower case.
+_FOLDED = [
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+]
 # How byte-level vocabularies write the 256 bytes: printable ones as they are, the others from U+0100 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*_SHOWN}))}
@@ -33,7 +42,8 @@ class Encoder:
     Neither kind of tokenizer lets a token cross the start of white space or the end of a run of letters, so a text is the
     sequence of its pieces between single blanks and line ends, cut once more where such a run ends. If white space
     counts (``kept``), texts with other white space, or two such characters in a row, are encoded whole, and so are texts
-    that may hold a special token. A run of letters is one word to a byte-level tokenizer, so its model is asked directly.
+    that may hold a special token. A run of letters is one word to a byte-level tokenizer, so its model is asked directly;
+    so is that of a word tokenizer, once for all spellings of a word in upper and lower case.
     """
 
     def __init__(self, path: str, kept: bool) -> None:
@@ -44,22 +54,29 @@ class Encoder:
         self._mark_ids = self._ids(self._mark)
         t = self._tokenizer
         self._direct = kept and t.normalizer is None and isinstance(t.pre_tokenizer, ByteLevel) and not t.pre_tokenizer.add_prefix_space
+        self._folded = not kept and [part and json.loads(part.__getstate__()) for part in (t.normalizer, t.pre_tokenizer)] == _FOLDED
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
+    def _ask(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words and their ids by the model alone."""
+        ask = self._tokenizer.model.tokenize
+        shown = "\0".join(words).encode().decode("latin-1").translate(_BYTES).split(_BYTES[0])
+        return ((w, b"".join([t.id.to_bytes(4, "little") for t in ask(x)])) for w, x in zip(words, shown if words else (), strict=True))
+
     def _learn(self, new: list[str]) -> None:
         """Encode pieces in one go and part the ids at the marks; one by one if the marks do not come out."""
         if self._kept:  # pieces after which a text is not the sum of its pieces
             self._known.update((p, None) for p in new if p == " " or _WHITE(p, 1) or (p[0] != " " and p != "\n" and p[0].isspace()))
             new = [p for p in new if p not in self._known]
         if self._direct:
-            plain = [p for p in new if _PLAIN(p)]
-            ask = self._tokenizer.model.tokenize
-            words = "\0".join(plain).encode().decode("latin-1").translate(_BYTES).split(_BYTES[0])
-            self._known.update(
-                (p, b"".join([t.id.to_bytes(4, "little") for t in ask(w)])) for p, w in zip(plain, words if plain else (), strict=True)
-            )
+            self._known.update(self._ask([p for p in new if _PLAIN(p)]))
+            new = [p for p in new if p not in self._known]
+        elif self._folded and (plain := [p for p in new if _PLAIN(p) and "İ" not in p]):  # that one becomes two characters
+            lower = "\0".join(plain).lower().split("\0")
+            asked = dict(self._ask(list(set(lower).difference(self._known))))
+            self._known.update([(p, asked[w] if w in asked else self._known[w]) for p, w in zip(plain, lower, strict=True)])
             new = [p for p in new if p not in self._known]
         joined = [p for p in new if self._mark not in p and not p[-1].isspace()] if len(self._mark_ids) == 1 else []
         if joined:

@@ -129,6 +129,18 @@ def test_encoder_equals_the_library(path, kept):
     assert [list(np.frombuffer(found, "<u4")) for found in together] == want
 
 
+def test_words_are_asked_once_of_the_model_alone(monkeypatch):
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    texts = ["The the THE tHe", "Straße STRASSE Évian ÉVIAN évian", "İstanbul Iſ ŉ ΑΣ ΑΣ. It'S DON'T", *letters, " ".join(letters), "".join(letters)]
+    whole, encoder, asked, ask = Tokenizer.from_file(WORDS), tokens.Encoder(WORDS, False), [], tokens.Encoder._ids
+    monkeypatch.setattr(tokens.Encoder, "_ids", lambda self, text: asked.extend(text.split()) or ask(self, text))
+    want = [whole.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [list(np.frombuffer(found, "<u4")) for found in encoder.each(texts)] == want
+    assert "İstanbul" in asked and not {"The", "the", "THE", "Straße", "Évian", "évian", "é"} & set(asked)
+    assert encoder._known["The"] is encoder._known["the"] is encoder._known["tHe"] and encoder._known["É"] is encoder._known["é"]
+    assert list(np.frombuffer(encoder.of("tHE ÉVIAn"), "<u4")) == whole.encode("the évian").ids  # known by another spelling
+
+
 def test_wavelet_matrix():
     ids = np.random.default_rng(3).integers(0, 900, 3000).astype(np.uint16)
     ids[::7] = 5
