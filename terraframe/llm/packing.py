@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .memory import give_back
 from .text import settle
 from .tokens import Encoder
 
@@ -80,6 +81,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, sequence
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         encoder, end = Encoder(tokenizer, kept=False), np.array([end_id], "<u4").tobytes()
         for b in batches:
             out: list[tuple[int, int, int, int, int]] = []

@@ -430,6 +430,21 @@ def test_pipeline(spark):
     assert docs.agg(F.count_distinct("doc_id")).first()[0] == held[-1]
 
 
+def test_tasks_give_memory_of_earlier_tasks_back(docs, monkeypatch):
+    from types import SimpleNamespace
+
+    taken, given = [decontaminate._search(SimpleNamespace(value=[(1, "a b c d e f")]), 5, 0.8)], []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: taken.append(f) or self)
+    simhash.fingerprints(docs)
+    packing.pieces(docs, WORDS, "doc_id", "text", 64, 1)
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array(["a b c d e f"])], ["id", "text"])
+    for module, run in zip((decontaminate, simhash, packing), taken, strict=True):
+        monkeypatch.setattr(module, "give_back", lambda: given.append(0))
+        rows = list(run(iter([batch])))
+        assert given and [r.column(0).to_pylist() for r in rows] == [[7]]
+        given.clear()
+
+
 def test_roles_come_back_unchanged(spark):
     roles = ["a\x00b", "\\", "\\\n", "\\\\n", "a\\nb\nc", "\n\\n\\\\\n", "<|im_end|>\\<|", "", "<\\|\n"]
     rows = spark.createDataFrame([(r,) for r in roles], "role string")
