@@ -10,6 +10,8 @@ import types
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
@@ -19,8 +21,8 @@ KNOWN_PIECES = 3 << 18
 CHUNK = 1 << 20
 # Letters for sure, and a run of them that ends for sure: before ASCII punctuation, a blank, a line end or the end.
 _LETTERS = r"[A-Za-zÀ-ÖØ-öø-ƺ]++(?=[!-/:-@\[-`{-~ \n]|\Z)"
-_KEPT = re.compile(rf" ?{_LETTERS}| ?[^ \n]+|[ \n]")
 _DROPPED = re.compile(rf"{_LETTERS}|[^ \n]+")
+_ENDS = r"([A-Za-zÀ-ÖØ-öø-ƺ])([!-/:-@\[-`{-~])"
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ƺ]+").fullmatch
 _WHITE = re.compile(r"\s").search
 # Normalizer and splitter of word vocabularies: a run of plain letters is one word, in lower case.
@@ -43,7 +45,8 @@ class Encoder:
     sequence of its pieces between single blanks and line ends, cut once more where such a run ends. If white space
     counts (``kept``), texts with other white space, or two such characters in a row, are encoded whole, and so are texts
     that may hold a special token. A run of letters is one word to a byte-level tokenizer, so its model is asked directly;
-    so is that of a word tokenizer, once for all spellings of a word in upper and lower case.
+    so is that of a word tokenizer, once for all spellings of a word in upper and lower case. If white space counts, texts
+    are cut and their distinct pieces numbered as Arrow arrays, so that Python meets a piece once per chunk of texts.
     """
 
     def __init__(self, path: str, kept: bool) -> None:
@@ -67,12 +70,12 @@ class Encoder:
 
     def _learn(self, new: list[str]) -> None:
         """Encode pieces in one go and part the ids at the marks; one by one if the marks do not come out."""
-        if self._kept:  # pieces after which a text is not the sum of its pieces
-            self._known.update((p, None) for p in new if p == " " or _WHITE(p, 1) or (p[0] != " " and p != "\n" and p[0].isspace()))
-            new = [p for p in new if p not in self._known]
         if self._direct:
             self._known.update(self._ask([p for p in new if _PLAIN(p)]))
             new = [p for p in new if p not in self._known]
+        if self._kept:  # pieces after which a text is not the sum of its pieces
+            self._known.update((p, None) for p in new if p == " " or _WHITE(p, 1) or (p[0] != " " and p != "\n" and p[0].isspace()))
+            new = [p for p in new if p not in self._known]
         elif self._folded and (plain := [p for p in new if _PLAIN(p) and "İ" not in p]):  # that one becomes two characters
             lower = "\0".join(plain).lower().split("\0")
             asked = dict(self._ask(list(set(lower).difference(self._known))))
@@ -92,16 +95,44 @@ class Encoder:
     def _chunk(self, texts: list[str]) -> Iterator[bytes]:
         if len(self._known) > KNOWN_PIECES:
             self._known.clear()
-        find = (_KEPT if self._kept else _DROPPED).findall
-        cut = [None if "<|" in t or (self._kept and "\n\n" in t) else find(t) for t in texts]
+        if self._kept:
+            yield from self._parted(texts)
+            return
+        cut = [None if "<|" in t else _DROPPED.findall(t) for t in texts]
         if new := set().union(*[p for p in cut if p]).difference(self._known):
             self._learn(list(new))
         known = self._known.__getitem__
         for text, own in zip(texts, cut, strict=True):
-            try:
-                yield self._ids(text).tobytes() if own is None else b"".join(map(known, own))
-            except TypeError:  # a piece that does not stand for itself
-                yield self._ids(text).tobytes()
+            yield self._ids(text).tobytes() if own is None else b"".join(map(known, own))
+
+    def _parted(self, texts: list[str]) -> Iterator[bytes]:
+        """Texts parted in Arrow before blanks, around line ends and behind letters that end for sure."""
+        whole = np.array(["<|" in t or "\n\n" in t or "\0" in t for t in texts])
+        marked = pa.array(["" if w else t for t, w in zip(texts, whole, strict=True)], pa.large_string())
+        for sign, parted in ((" ", "\0 "), ("\n", "\0\n\0")):
+            marked = pc.replace_substring(marked, sign, parted)
+        parts = pc.split_pattern(pc.replace_substring_regex(marked, _ENDS, "\\1\0\\2"), "\0")
+        numbered, bounds = parts.values.dictionary_encode(), parts.offsets.to_numpy()
+        del marked, parts
+        at = numbered.indices.to_numpy()
+        pieces, known = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), self._known
+        ids = list(map(known.get, pieces))
+        if missing := [n for n, i in enumerate(ids) if i is None]:
+            if new := [pieces[n] for n in missing if pieces[n] and pieces[n] not in known]:
+                self._learn(new)
+            unsure = np.zeros(len(ids), bool)
+            for n in missing:
+                i = known[pieces[n]] if pieces[n] else b""
+                ids[n], unsure[n] = i or b"", i is None
+            if unsure.any():  # pieces that do not stand for themselves
+                whole |= np.diff(np.concatenate([[0], np.cumsum(unsure[at])])[bounds]) > 0
+        data, counts = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        firsts, counts = (np.cumsum(counts) - counts)[at], counts[at]
+        ends = np.cumsum(counts)
+        tokens = data[np.arange(counts.sum()) + np.repeat(firsts - ends + counts, counts)]
+        bounds = np.concatenate([[0], ends])[bounds].tolist()
+        for text, alone, start, stop in zip(texts, whole, bounds, bounds[1:]):
+            yield self._ids(text).tobytes() if alone else tokens[start:stop].tobytes()
 
     def each(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of one text after the other; a null text has none."""
@@ -112,7 +143,8 @@ class Encoder:
             if size >= CHUNK:
                 yield from self._chunk(held)
                 held, size = [], 0
-        yield from self._chunk(held)
+        if held:
+            yield from self._chunk(held)
 
     def of(self, text: str | None) -> bytes:
         return next(self.each([text]))

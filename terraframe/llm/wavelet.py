@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
+from .memory import give_back
 from .text import settle, whole
 from .tokens import shared_encoder
 
@@ -28,6 +29,7 @@ END_ID = 2
 SHARD_BYTES = 32 << 20
 _MAGIC, _HEAD = b"WVM1", "<4sBQQ"
 _BLOCK = 512  # bits per entry of the rank directory
+_STRIDE = 1 << 16  # tokens that are moved at once, so that positions stay few
 
 
 def pack(tokens: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> bytes:
@@ -37,17 +39,37 @@ def pack(tokens: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> b
     out = [struct.pack(_HEAD, _MAGIC, width, n, len(doc_ids)), np.packbits(known).tobytes(),
            np.array([i or 0 for i in doc_ids], "<i8").tobytes(), np.array(lengths, "<i8").tobytes()]
     for bit in range(width - 1, -1, -1):
-        ones = (tokens >> tokens.dtype.type(bit) & tokens.dtype.type(1)).astype(bool)
+        ones = (tokens & tokens.dtype.type(1 << bit)) != 0
         plane = np.packbits(ones)
         padded = np.zeros(-(-max(n, 1) // _BLOCK) * _BLOCK // 8, np.uint8)
         padded[: len(plane)] = plane
         counts = np.bitwise_count(padded).reshape(-1, _BLOCK // 8).sum(axis=1, dtype=np.int64)
         ranks = np.concatenate([[0], np.cumsum(counts)]).astype("<i8")
         out += [ranks.tobytes(), padded.tobytes()]
-        tokens = np.concatenate([tokens[~ones], tokens[ones]])
+        if bit:
+            tokens = _parted(tokens, ones)
     return b"".join(out)
 
 
+def _moves(ones: np.ndarray) -> Iterator[tuple[slice, np.ndarray, slice, np.ndarray, slice]]:
+    """Stretches of a plane: each with the places of its zeros and ones, and where those lie once the plane is parted."""
+    zero, one = 0, len(ones) - int(np.count_nonzero(ones))
+    for start in range(0, len(ones), _STRIDE):
+        bits = ones[start : start + _STRIDE]
+        unset, held = np.flatnonzero(~bits), np.flatnonzero(bits)
+        yield slice(start, start + len(bits)), unset, slice(zero, zero + len(unset)), held, slice(one, one + len(held))
+        zero, one = zero + len(unset), one + len(held)
+
+
+def _parted(tokens: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """The tokens stably parted by a bit, zeros first."""
+    out = np.empty_like(tokens)
+    for at, unset, left, held, right in _moves(ones):
+        np.take(tokens[at], unset, out=out[left], mode="clip")
+        np.take(tokens[at], held, out=out[right], mode="clip")
+    return out
+
+
 class WaveletShard:
     """Reads the file of a shard: ``access``, ``rank``, ``count``, ``select`` and ``decode``."""
 
@@ -134,11 +156,11 @@ class WaveletShard:
         """All tokens in order: the planes undone from the last to the first."""
         tokens = np.zeros(self.size, np.uint16 if self.width <= 16 else np.uint32)
         for bit, level in enumerate(range(self.width - 1, -1, -1)):
-            ones = np.unpackbits(self._planes[level][1], count=self.size).astype(bool)
-            zeros = self._zeros(level)
+            tokens[self._zeros(level) :] |= tokens.dtype.type(1 << bit)
             above = np.empty_like(tokens)
-            above[~ones] = tokens[:zeros]
-            above[ones] = tokens[zeros:] | tokens.dtype.type(1 << bit)
+            for at, unset, left, held, right in _moves(np.unpackbits(self._planes[level][1], count=self.size).view(bool)):
+                above[at][unset] = tokens[left]
+                above[at][held] = tokens[right]
             tokens = above
         return tokens
 
@@ -170,6 +192,7 @@ def write_shards(
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 8), F.lit(0))).first()[0]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         encoder, end = shared_encoder(tokenizer, True), np.array([end_id], "<u4")
         parts, ids, lengths = [], [], []
         for b in batches:
@@ -180,8 +203,12 @@ def write_shards(
                 lengths.append(len(own))
         if not ids:
             return
+        tokens = np.concatenate(parts)
+        del b, own
+        parts.clear()
+        give_back()  # before the planes, which need memory of their own
         task = TaskContext.get()
-        name, data = f"shard-{task.partitionId():07d}.wvm", pack(np.concatenate(parts), ids, lengths)
+        name, data = f"shard-{task.partitionId():07d}.wvm", pack(tokens, ids, lengths)
         files, folder = _file_system(root)
         files.create_dir(folder, recursive=True)
         draft = f"{folder}/_{name}.{task.taskAttemptId()}"

@@ -152,6 +152,41 @@ def test_wavelet_matrix():
     assert [held.select(5, j) for j in range(0, len(at), 40)] == at[::40].tolist() and held.select(5, len(at)) == -1
 
 
+def test_planes_are_parted_in_strides(monkeypatch):
+    monkeypatch.setattr(wavelet, "_STRIDE", 100)
+    for top, size in ((900, 3000), (1 << 17, 1234), (1, 100), (2, 1)):
+        ids = np.random.default_rng(top).integers(0, top, size).astype(np.uint16 if top < 1 << 16 else np.uint32)
+        held = wavelet.WaveletShard(wavelet.pack(ids, [1], [size]))
+        assert (held.decode() == ids).all() and held.decode().dtype == ids.dtype
+        assert all(held.access(i) == ids[i] for i in range(0, size, 97))
+
+
+def test_distinct_pieces_are_learnt_once_per_chunk(monkeypatch):
+    texts = ["foo,bar,baz foo,\nbaz", "foo bar\0 foo", None, "a  foo", "foo <|endoftext|>", "", "x\u3000y foo", "x\n\nfoo", "don't, foo's.", "(foo) é,foo 3.5,foo"]
+    whole, encoder, asked, learn = Tokenizer.from_file(BYTES), tokens.Encoder(BYTES, True), [], tokens.Encoder._learn
+    monkeypatch.setattr(tokens.Encoder, "_learn", lambda self, new: asked.append(new) or learn(self, new))
+    want = [whole.encode(text or "", add_special_tokens=False).ids for text in texts]
+    for _ in range(2):
+        assert [list(np.frombuffer(found, "<u4")) for found in encoder.each(texts)] == want
+    assert len(asked) == 1 and len(asked[0]) == len(set(asked[0])) and {"foo", " foo", ",bar", ",baz", ","} <= set(asked[0])
+    assert list(encoder.each([])) == []
+
+
+def test_shard_tasks_give_memory_back_before_texts_and_planes(docs, tmp_path, monkeypatch):
+    from types import SimpleNamespace
+
+    taken, given = [], []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: taken.append(f) or self)
+    monkeypatch.setattr(wavelet, "settle", lambda frame, purpose: frame)
+    monkeypatch.setattr(wavelet, "give_back", lambda: given.append("back"))
+    monkeypatch.setattr(wavelet, "pack", lambda *held, pack=wavelet.pack: given.append("planes") or pack(*held))
+    monkeypatch.setattr(wavelet, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3, taskAttemptId=lambda: 5)))
+    wavelet.write_shards(docs, str(tmp_path), BYTES)
+    rows = list(taken[0](iter([pa.RecordBatch.from_arrays([pa.array([7]), pa.array(["a b"])], ["id", "text"])])))
+    assert given == ["back", "back", "planes"] and [r.column(3).to_pylist() for r in rows] == [[1]]
+    assert wavelet.WaveletShard((tmp_path / "shard-0000003.wvm").read_bytes()).lengths.tolist() == [3]
+
+
 def test_token_files(spark, docs, empty):
     own = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     whole, start, want = Tokenizer.from_file(BYTES), 0, set()
