@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .memory import give_back
+from .memory import give_back, returned
 from .text import row_key, settle, whole, without
 from .words import WordHashes, shingles, word_blocks
 
@@ -91,6 +91,7 @@ def contained_items(
 
 
 def _search(held, size: int, threshold: float):
+    @returned
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
         index, hashes, kind = _Index(held.value, size, threshold), WordHashes(), None

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .memory import give_back
+from .memory import give_back, returned
 from .text import settle
 from .tokens import Encoder
 
@@ -80,6 +80,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, sequence
     """Documents cut into full sequences and a rest: ``id, start, length, ids_crc32, doc_tokens``."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
+    @returned
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
         encoder, end = Encoder(tokenizer, kept=False), np.array([end_id], "<u4").tobytes()
@@ -136,6 +137,7 @@ def pack_documents(
         "id", "start", "length", "ids_crc32", "doc_tokens", (F.col("first") + F.col("nth") - 1).alias("rank")
     )
 
+    @returned
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             length, rank = (b.column(i).to_numpy(zero_copy_only=False) for i in (2, 5))

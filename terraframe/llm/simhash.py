@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .memory import give_back
+from .memory import give_back, returned
 from .text import row_key, settle, small_enough, without
 from .words import word_blocks
 
@@ -50,12 +50,12 @@ def _fingerprint(text: str | None, size: int) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """``id, print`` per row: bit i is set if over half of the shingle hashes have it; no words give 0."""
 
+    @returned
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
         for b in batches:
             prints = [_fingerprint(t.as_py(), size) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.int64())], ["id", "print"])
-        give_back()  # the joins that follow leave this process idle
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, print bigint")

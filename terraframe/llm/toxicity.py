@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .memory import give_back
+from .memory import give_back, returned
 from .text import BROADCAST_BYTES, row_key, settle, small_enough, without
 from .wavelet import _file_system
 
@@ -46,6 +46,7 @@ def _grams(word: str) -> list[str]:
     return [padded[i : i + ORDER] for i in range(len(word) + 1)]
 
 
+@returned
 def _count(batches: Iterator[pa.RecordBatch], flush: int = _FLUSH) -> Iterator[pa.RecordBatch]:
     """Grams of (text, class) rows: ``gram, kind, n``; classes of the calibration slice are 2 and 3."""
 
@@ -180,6 +181,7 @@ def _look_up(table: tuple[np.ndarray, np.ndarray], keys: list[str]) -> np.ndarra
 def _words(docs: DataFrame) -> DataFrame:
     """``hash, n, word`` of every distinct word of all texts."""
 
+    @returned
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
         counts: Counter = Counter()
@@ -207,6 +209,7 @@ def _values(words: DataFrame, ratios: DataFrame, share: float, limit: int) -> Da
     """
     held, whole = _held(ratios.select(F.xxhash64("key").alias("hash"), "n", "value"), limit)
 
+    @returned
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
         table = held.load()
@@ -273,6 +276,7 @@ def _read(docs: DataFrame, values: DataFrame, limit: int) -> DataFrame:
     kept = StructType([f for f in rows.schema.fields if f.name != "text"])
     out = "gain double, size bigint, others bigint, rest array<struct<hash: bigint, n: bigint>>"
 
+    @returned
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
         reader = _Reader(held.load())

@@ -480,6 +480,40 @@ def test_tasks_give_memory_of_earlier_tasks_back(docs, monkeypatch):
         given.clear()
 
 
+def test_tasks_return_what_they_held_when_they_end(docs, monkeypatch):
+    import weakref
+    from types import SimpleNamespace
+
+    from terraframe.llm import memory
+
+    class Held:
+        pass
+
+    held, ends = [], []
+
+    @memory.returned
+    def task(batches):
+        own = Held()
+        held.append(weakref.ref(own))
+        yield from batches
+
+    taken = [toxicity._count, decontaminate._search(SimpleNamespace(value=[(1, "a b c d e f")]), 5, 0.8)]
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: taken.append(f) or self)
+    simhash.fingerprints(docs)
+    packing.pieces(docs, WORDS, "doc_id", "text", 64, 1)
+    monkeypatch.setattr(memory, "give_back", lambda: ends.append([h() for h in held]))
+    assert list(task(iter([1, 2]))) == [1, 2] and ends == [[None]]
+    stopped = task(iter([1, 2]))
+    assert next(stopped) == 1
+    stopped.close()
+    assert ends == [[None], [None, None]]
+    for run in taken:
+        ends.clear()
+        text = [pa.array([1], pa.int32()), pa.array(["a b c d e f"])]
+        batch = pa.RecordBatch.from_arrays(text[::-1] if run is toxicity._count else text, ["a", "b"])
+        assert list(run(iter([batch]))) and len(ends) == 1
+
+
 def test_roles_come_back_unchanged(spark):
     roles = ["a\x00b", "\\", "\\\n", "\\\\n", "a\\nb\nc", "\n\\n\\\\\n", "<|im_end|>\\<|", "", "<\\|\n"]
     rows = spark.createDataFrame([(r,) for r in roles], "role string")
