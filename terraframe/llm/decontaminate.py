@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .memory import give_back, returned
+from .memory import give_back, returned, small_batches
 from .text import row_key, settle, whole, without
 from .words import WordHashes, shingles, word_blocks
 
@@ -74,6 +74,7 @@ def contained_items(
     null id is reported as null; repeated documents or items give repeated pairs; an empty table on either side
     gives an empty result; further columns are ignored.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).alias("item"), whole(item_text_col).alias("text"))
     items = settle(items, "benchmark-items")

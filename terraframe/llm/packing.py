@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .memory import give_back, returned
+from .memory import give_back, returned, small_batches
 from .text import settle
 from .tokens import Encoder
 
@@ -78,6 +78,7 @@ def plan(histogram: dict[int, int], sequence: int = SEQUENCE) -> list[Pattern]:
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, sequence: int, end_id: int) -> DataFrame:
     """Documents cut into full sequences and a rest: ``id, start, length, ids_crc32, doc_tokens``."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     @returned

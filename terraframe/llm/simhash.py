@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .memory import give_back, returned
+from .memory import give_back, returned, small_batches
 from .text import row_key, settle, small_enough, without
 from .words import word_blocks
 
@@ -57,6 +57,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             prints = [_fingerprint(t.as_py(), size) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.int64())], ["id", "print"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, print bigint")
 

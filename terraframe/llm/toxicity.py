@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .memory import give_back, returned
+from .memory import give_back, returned, small_batches
 from .text import BROADCAST_BYTES, row_key, settle, small_enough, without
 from .wavelet import _file_system
 
@@ -358,6 +358,7 @@ def score_toxicity(
     constant. A null or empty text differs by 0. A null id is not held out and not learned from. Repeated rows
     give repeated results; an empty table gives an empty result; further columns are ignored.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
         *([row_key(id_col, text_col).alias("key")] if carry else []),

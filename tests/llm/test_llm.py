@@ -514,6 +514,22 @@ def test_tasks_return_what_they_held_when_they_end(docs, monkeypatch):
         assert list(run(iter([batch]))) and len(ends) == 1
 
 
+def test_long_texts_come_in_small_batches(spark):
+    own, key = spark.newSession(), "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = own.range(40, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab cd "), 100_000).alias("text"))
+    simhash.fingerprints(rows)
+    assert int(own.conf.get(key)) == 4 << 20
+
+    def sizes(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([b.nbytes for b in batches], pa.int64())], ["n"])
+
+    took = [r.n for r in rows.mapInArrow(sizes, "n bigint").collect()]
+    assert sum(took) >= 40 * 600_000 and max(took) <= 5 << 20
+    own.conf.set(key, 1 << 20)
+    packing.pieces(rows, WORDS, "doc_id", "text", 64, 1)
+    assert int(own.conf.get(key)) == 1 << 20
+
+
 def test_roles_come_back_unchanged(spark):
     roles = ["a\x00b", "\\", "\\\n", "\\\\n", "a\\nb\nc", "\n\\n\\\\\n", "<|im_end|>\\<|", "", "<\\|\n"]
     rows = spark.createDataFrame([(r,) for r in roles], "role string")
