@@ -94,6 +94,17 @@ def test_join(spark, areas, lines, algorithm, predicate, place):
         a[0] for a in LINES if a[1] is HOLED and a[place] and a[0] not in ("inside", "within the hole", "apart")}
 
 
+@pytest.mark.parametrize("predicate", ["intersects", "contains"])
+@pytest.mark.parametrize("shape", ["path", "shape"])
+def test_crowded_cells_of_a_join_are_split(spark, areas, lines, monkeypatch, predicate, shape):
+    polygon = spark.createDataFrame([(i, HOLED) for i in range(6)], f"pid int, rings {RINGS}")
+    others = (lines if shape == "path" else areas).select("name", F.col(shape).alias("other"))
+    whole = sj.shape_join(polygon, others, predicate, right_shape="other", algorithm="pbsm").collect()
+    monkeypatch.setattr(sj, "HOT_ROWS", 3)
+    split = sj.shape_join(polygon, others, predicate, right_shape="other", algorithm="pbsm").collect()
+    assert whole and sorted(split) == sorted(whole)
+
+
 def test_join_refuses_what_it_cannot_decide(spark, lines):
     with pytest.raises(ValueError, match="predicate"):
         sj.shape_join(lines.select("path"), lines.select(F.col("path").alias("p")), "contains", left_shape="path", right_shape="p")
