@@ -146,3 +146,16 @@ def test_lines_on_the_border_of_a_rectangle(spark):
     assert {r.name for r in vector.range_query(vector.with_envelope(mixed), box, "contains").collect()} == want
     outline = [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]]
     assert {r.name for r in vector.within_polygon(lines, outline, "contains").collect()} == want
+
+
+def test_a_long_line_is_compared_with_shapes_beside_it_only(spark):
+    places = [(x + 0.5, y + 0.5) for x in range(0, 60, 3) for y in range(0, 60, 3)]
+    shapes = spark.createDataFrame([(i, [square(x, y, 1)]) for i, (x, y) in enumerate(places)], f"pid int, rings {RINGS}")
+    ways = [[(0, 0), (60, 60)], [(0, 30), (60, 31)], [(1, 1), (1.2, 1.2)]]
+    lines = spark.createDataFrame([(i, [{"x": float(x), "y": float(y)} for x, y in w]) for i, w in enumerate(ways)], f"id int, path {PATH}")
+    a, b = sj._shape_rows(shapes, "rings", True, "_a"), sj._shape_rows(lines, "path", False, "_b")
+    met = sj.edges_at_cells(sj._index_of(a, "_a", True, 1e-12), b, "_b")
+    assert met.select("_a").distinct().count() < len(places) / 4
+    found = {(r.pid, r.id) for r in sj.shape_join(shapes, lines).collect()}
+    assert found == {(i, 0) for i, (x, y) in enumerate(places) if x == y} | {(0, 2)} | {
+        (i, 1) for i, (x, y) in enumerate(places) if y <= 30 + (x + 1) / 60 and y + 1 >= 30 + x / 60}
